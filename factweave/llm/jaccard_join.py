@@ -255,6 +255,25 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
 
 
+def _pair_bound(n1: str, m1: str, n2: str, m2: str, percent: int) -> str:
+    """Sizes n and most elements m that any other set can share: can the two be similar enough?"""
+    return f"(100 + {percent}) * least({m1}, {m2}) >= {percent} * ({n1} + {n2}) and 100 * least({n1}, {n2}) >= {percent} * greatest({n1}, {n2})"
+
+
+def _dense_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """t, rep, n, m of the prefixes of dense classes in the exact order of frequency among them.
+
+    m is the number of elements that another dense class has too; classes that can't be similar to any are left out.
+    """
+    items = sets.select("rep", F.explode("items").alias("t"))
+    counts = items.groupBy("t").agg(F.count(F.lit(1)).alias("k")).where("k > 1")
+    shared = items.join(counts, "t").groupBy("rep").agg(F.count(F.lit(1)).alias("m"), F.array_sort(F.collect_list(F.struct("k", "t"))).alias("o"))
+    sized = shared.join(sets.select("rep", F.size("items").cast("long").alias("n")), "rep").where(f"100 * m >= {percent} * n")
+    # the elements that no other class has come first in the order and take part of the prefix
+    own = f"n - cast(ceil({percent} * n / 100) as long) + 1 - (n - m)"
+    return sized.select("rep", "n", "m", F.explode(F.expr(f"slice(o, 1, cast(greatest({own}, 0) as int))")).alias("e")).select(F.col("e.t").alias("t"), "rep", "n", "m")
+
+
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles and component_id (smallest doc_id reachable by links) of every row.
 
@@ -275,44 +294,45 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     members = index.select("rep", "n", "gid", "share")
     entries = index.select(F.explode("rare").alias("t"), "gid", "n").repartition(width, "t").sortWithinPartitions("t", "gid")
     met = stash(entries.mapInArrow(_meet(percent), "a long, b long, c long, na long, nb long, t long"), "met")
-    # of frequent shingles (and lists too long to hold) there are lists, not pairs
-    hot = index.select(F.explode("hot").alias("t"), "gid", "n").unionByName(met.where("t is not null").select("t", F.col("a").alias("gid"), F.col("na").alias("n"))).distinct()
-    hot = stash(hot, "hot")
-    # what two groups share of their prefixes, lists included only where one of them has none to add
-    listed = hot.select("gid").distinct().withColumn("listed", F.lit(True))
+    # dense groups have frequent shingles (or lists too long to hold) in their prefix: pairs of two such are sought below
+    dense = index.where("size(hot) > 0").select("gid").unionByName(met.where("t is not null").select(F.col("a").alias("gid"))).distinct()
+    dense = stash(dense.withColumn("dense", F.lit(True)), "dense")
+    # of a pair with another group every shared prefix element has been counted, so what remains bounds the overlap
     pairs = met.where("t is null").groupBy("a", "b").agg(F.sum("c").alias("c"), F.first("na").alias("na"), F.first("nb").alias("nb"))
     left = lambda n: f"({n} - ({n} - cast(ceil({percent} * {n} / 100) as long) + 1))"  # noqa: E731  elements after the prefix
-    possible = f"(100 + {percent}) * (c + greatest({left('na')}, {left('nb')})) >= {percent} * (na + nb)"
+    may_link = f"(100 + {percent}) * (c + greatest({left('na')}, {left('nb')})) >= {percent} * (na + nb)"
+    pairs = pairs.where(may_link)
     pairs = (
-        pairs.join(listed.select(F.col("gid").alias("a"), F.col("listed").alias("la")), "a", "left")
-        .join(listed.select(F.col("gid").alias("b"), F.col("listed").alias("lb")), "b", "left")
-        .where(f"(la and lb) or {possible}")
+        pairs.join(dense.select(F.col("gid").alias("a"), F.col("dense").alias("la")), "a", "left")
+        .join(dense.select(F.col("gid").alias("b"), F.col("dense").alias("lb")), "b", "left")
+        .where("la is null or lb is null")
         .select("a", "b")
     )
     pairs = stash(pairs, "pairs")
     drop_stash(met)
-    leader = members.groupBy("gid").agg(F.max_by("rep", F.struct("share", -F.col("rep"))).alias("leader"), F.count(F.lit(1)).alias("k"), F.max("share").alias("share"), F.first("n").alias("n"))
+    leader = members.groupBy("gid").agg(F.max_by("rep", F.struct("share", -F.col("rep"))).alias("leader"), F.count(F.lit(1)).alias("k"))
     leader = stash(leader, "leaders")
 
     # the classes whose whole sets are needed
-    groups = pairs.select(F.col("a").alias("gid")).unionByName(pairs.select(F.col("b").alias("gid"))).unionByName(hot.select("gid")).unionByName(leader.where("k > 1").select("gid")).distinct()
+    groups = pairs.select(F.col("a").alias("gid")).unionByName(pairs.select(F.col("b").alias("gid"))).unionByName(dense.select("gid")).unionByName(leader.where("k > 1").select("gid")).distinct()
     sets = _sets(docs, classes, members.join(groups, "gid").select("rep"), words)
+    lists = stash(_dense_lists(sets.join(members.join(dense, "gid").select("rep"), "rep"), percent), "lists")
 
-    # leaders first
+    # leaders first: one partner a group and a dense class here, the exhaustive step has the others
     lead = lambda df, g, out: df.join(leader.select(F.col("gid").alias(g), F.col("leader").alias(out)), g)
     stars = members.join(leader.where("k > 1"), "gid").where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
     chosen = pairs.groupBy("b").agg(F.min("a").alias("a")).unionByName(pairs.groupBy("a").agg(F.min("b").alias("b")).select("b", "a"))
     chosen = lead(lead(chosen.distinct(), "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    hubs = hot.join(leader.select("gid", "leader", "share"), "gid")
-    hub = hubs.groupBy("t").agg(F.max_by(F.struct("leader", "n"), F.struct("share", -F.col("leader"))).alias("h"))
-    spokes = hubs.join(hub, "t").where(f"leader != h.leader and 100 * least(n, h.n) >= {percent} * greatest(n, h.n)").select(F.col("h.leader").alias("a"), F.col("leader").alias("b"))
+    hub = lists.groupBy("t").agg(F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("rep")).alias("r"), "n", "m")).alias("h"))
+    spokes = lists.join(hub, "t").where("rep != -h.r").where(_pair_bound("n", "m", "h.n", "h.m", percent))
+    spokes = spokes.groupBy("rep").agg(F.max("h").alias("h")).select((-F.col("h.r")).alias("a"), F.col("rep").alias("b"))
     first = stars.unionByName(chosen).unionByName(spokes).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = stash(first, "first")
     links = stash(_verified(first, sets, percent), "links")
     found = stash(components(links), "found")
 
     # then everything that may still join two components
-    label = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", "n", F.coalesce("component", "rep").alias("comp"))
+    label = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("gid", "rep", F.coalesce("component", "rep").alias("comp"))
     label = stash(label.join(groups, "gid"), "labels")
     x = label.select(F.col("gid").alias("a"), F.col("rep").alias("ra"), F.col("comp").alias("ca"))
     y = label.select(F.col("gid").alias("b"), F.col("rep").alias("rb"), F.col("comp").alias("cb"))
@@ -320,11 +340,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     mixed = label.groupBy("gid").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("gid")
     x = label.join(mixed, "gid")
     inside = x.select("gid", F.col("rep").alias("ra"), F.col("comp").alias("ca")).join(x.select("gid", F.col("rep").alias("rb"), F.col("comp").alias("cb")), "gid").where("ca != cb and ra < rb").select("ra", "rb")
-    lists = hot.select("t", "gid").join(label, "gid")
+    lists = lists.join(label.select("rep", "comp"), "rep")
     several = lists.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
     lists = lists.join(several, "t")
-    across = lists.select("t", F.col("rep").alias("ra"), F.col("comp").alias("ca"), F.col("n").alias("na")).join(lists.select("t", F.col("rep").alias("rb"), F.col("comp").alias("cb"), F.col("n").alias("nb")), "t")
-    across = across.where(f"ca != cb and ra < rb and 100 * least(na, nb) >= {percent} * greatest(na, nb)").select("ra", "rb")
+    other = lists.select("t", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "m", "comp")))
+    across = lists.join(other, "t").where("comp != comp2 and rep < rep2").where(_pair_bound("n", "m", "n2", "m2", percent))
+    across = across.groupBy(F.col("rep").alias("ra"), F.col("rep2").alias("rb")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("na"), F.first("n2").alias("nb"))
+    across = across.where(may_link).select("ra", "rb")
     rest = of_pairs.unionByName(inside).unionByName(across).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
     rest = stash(rest.join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
