@@ -261,7 +261,7 @@ def _pair_bound(n1: str, m1: str, n2: str, m2: str, percent: int) -> str:
 
 
 def _dense_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """t, rep, n, m of the prefixes of dense classes in the exact order of frequency among them.
+    """t, rep, n, m, pos of the prefixes of dense classes in the exact order of frequency among them.
 
     m is the number of elements that another dense class has too; classes that can't be similar to any are left out.
     """
@@ -271,7 +271,7 @@ def _dense_lists(sets: DataFrame, percent: int) -> DataFrame:
     sized = shared.join(sets.select("rep", F.size("items").cast("long").alias("n")), "rep").where(f"100 * m >= {percent} * n")
     # the elements that no other class has come first in the order and take part of the prefix
     own = f"n - cast(ceil({percent} * n / 100) as long) + 1 - (n - m)"
-    return sized.select("rep", "n", "m", F.explode(F.expr(f"slice(o, 1, cast(greatest({own}, 0) as int))")).alias("e")).select(F.col("e.t").alias("t"), "rep", "n", "m")
+    return sized.select("rep", "n", "m", F.posexplode(F.expr(f"slice(o, 1, cast(greatest({own}, 0) as int))")).alias("k", "e")).select(F.col("e.t").alias("t"), "rep", "n", "m", (F.col("n") - F.col("m") + F.col("k") + 1).alias("pos"))
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -342,11 +342,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     inside = x.select("gid", F.col("rep").alias("ra"), F.col("comp").alias("ca")).join(x.select("gid", F.col("rep").alias("rb"), F.col("comp").alias("cb")), "gid").where("ca != cb and ra < rb").select("ra", "rb")
     lists = lists.join(label.select("rep", "comp"), "rep")
     several = lists.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
-    lists = lists.join(several, "t")
-    other = lists.select("t", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "m", "comp")))
-    across = lists.join(other, "t").where("comp != comp2 and rep < rep2").where(_pair_bound("n", "m", "n2", "m2", percent))
-    across = across.groupBy(F.col("rep").alias("ra"), F.col("rep2").alias("rb")).agg(F.count(F.lit(1)).alias("c"), F.first("n").alias("na"), F.first("n2").alias("nb"))
-    across = across.where(may_link).select("ra", "rb")
+    mixed_lists = lists.join(several, "t")
+    other = mixed_lists.select("t", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "m", "pos", "comp")))
+    # a similar pair's first shared element stands early enough in both for the overlap that the two sizes need
+    need = f"(cast(ceil({percent} * (n + n2) / (100 + {percent})) as long))"
+    early = f"pos <= n - {need} + 1 and pos2 <= n2 - {need} + 1"
+    across = mixed_lists.join(other, "t").where("comp != comp2 and rep < rep2").where(_pair_bound("n", "m", "n2", "m2", percent)).where(early)
+    across = across.select("rep", "rep2", "n", "n2").distinct()
+    prefix = lists.groupBy("rep").agg(F.collect_set("t").alias("p"))
+    across = across.join(prefix, "rep").join(prefix.select(F.col("rep").alias("rep2"), F.col("p").alias("p2")), "rep2")
+    across = across.select(F.col("rep").alias("ra"), F.col("rep2").alias("rb"), F.col("n").alias("na"), F.col("n2").alias("nb"), F.size(F.array_intersect("p", "p2")).alias("c")).where(may_link).select("ra", "rb")
     rest = of_pairs.unionByName(inside).unionByName(across).select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
     rest = stash(rest.join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
