@@ -87,22 +87,21 @@ def text_or_empty(name: str = "text"):
 # ---------------------------------------------------------------- byte blocks
 
 
-def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES):
+def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES, rows: int = 1024):
     """Yield (first row, buffer, offsets) for runs of rows of about ``limit`` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_binary()).fill_null(b"")
-    n = len(column)
-    if not n:
-        return
-    _, offs, data = column.buffers()
-    offs = np.frombuffer(offs, np.int64, n + 1, column.offset * 8)
-    data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
-    at = 0
-    while at < n:
-        end = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
-        yield at, data[offs[at] : offs[end]], offs[at : end + 1] - offs[at]
-        at = end
+    for first in range(0, len(column), rows):  # a slice at a time is copied
+        part = column.slice(first, rows).cast(pa.large_binary()).fill_null(b"")
+        n = len(part)
+        _, offs, data = part.buffers()
+        offs = np.frombuffer(offs, np.int64, n + 1, part.offset * 8)
+        data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
+        at = 0
+        while at < n:
+            end = max(at + 1, int(np.searchsorted(offs, offs[at] + limit, "right")) - 1)
+            yield first + at, data[offs[at] : offs[end]], offs[at : end + 1] - offs[at]
+            at = end
 
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)

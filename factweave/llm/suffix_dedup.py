@@ -27,9 +27,9 @@ from .common import mix, spans_hash, stash, text_blocks, text_or_empty
 
 LENGTH, GRAM, STRIDE = 400, 32, 100
 #: Bytes of context texts merged at once in a task, and bytes of a shard.
-MERGE_BYTES, SHARD_BYTES = 4 << 20, 1 << 19
+MERGE_BYTES, SHARD_BYTES = 1 << 20, 1 << 18
 #: Contexts of one anchor that a task may hold; the windows of anchors with more are counted one by one, by all tasks.
-WIDE = 4096
+WIDE = 1024
 #: Bytes of a document that one pass looks at (windows across a cut belong to one side, none is lost).
 PART = 2 << 20
 FILTER_BITS = 1 << 23
