@@ -89,18 +89,26 @@ def occurrences(docs: DataFrame, length: int) -> DataFrame:
 # ------------------------------------------------------------ transforms and their merge
 
 
+def stable_order(x: np.ndarray) -> np.ndarray:
+    """A stable order of small numbers from 0 on: numpy sorts 16-bit keys by radix, so 16 bits at a time."""
+    order = np.argsort((x & 0xFFFF).astype(np.uint16), kind="stable")
+    high = (x >> 16).astype(np.uint16)
+    return order[np.argsort(high[order], kind="stable")] if high.any() else order
+
+
 def transform(sym: np.ndarray, nxt: np.ndarray, prev: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffix order and Burrows-Wheeler symbols of one shard, by the first ``depth`` symbols.
 
     Entry e has the symbol ``sym[e]`` (0 for the empty suffix that ends a sequence), its following entry ``nxt`` and
     the symbol ``prev`` before it (0 if none).  Empty suffixes come first, in the order of their sequences.
     """
-    ranks = [sym]
-    at = nxt
+    ranks, at = [sym], nxt
     for _ in range(depth - 1):
         ranks.append(sym[at])
         at = nxt[at]
-    order = np.lexsort(ranks[::-1])
+    order = stable_order(ranks[-1])
+    for rank in ranks[-2::-1]:
+        order = order[stable_order(rank[order])]
     return order, prev[order]
 
 
@@ -113,16 +121,17 @@ def refine(transforms: list[np.ndarray], ends: list[int], depth: int) -> tuple[n
     sizes = [len(t) for t in transforms]
     base = np.concatenate([[0], np.cumsum(sizes)])[:-1]
     every = np.concatenate(transforms)
-    shard = np.repeat(np.arange(len(sizes)), sizes)
-    tops = np.repeat(np.arange(len(ends)), ends)
+    shard = np.repeat(np.arange(len(sizes), dtype=np.uint16), sizes)
+    tops = np.repeat(np.arange(len(ends), dtype=np.uint16), ends)
+    heads = np.concatenate([b + np.arange(s) for b, s in zip(base, sizes)])
     block = np.zeros(len(shard), np.int64)
     for _ in range(depth):
         by = np.argsort(shard, kind="stable")
         read = np.empty(len(shard), np.int64)  # the n-th entry of a shard reads its n-th symbol
-        read[by] = np.concatenate([b + np.arange(s) for b, s in zip(base, sizes)])
+        read[by] = heads
         symbol = every[read]
         inner = np.flatnonzero(symbol)
-        order = inner[np.argsort(symbol[inner], kind="stable")]
+        order = inner[stable_order(symbol[inner])]
         s, old = symbol[order], block[order]
         split = np.concatenate([[1], (s[1:] != s[:-1]) | (old[1:] != old[:-1])]) if len(order) else np.zeros(0, np.int64)
         block = np.concatenate([np.arange(len(tops)), len(tops) + np.cumsum(split)])
@@ -145,7 +154,7 @@ def repeated_windows(texts: list[bytes], length: int = LENGTH, stride: int = STR
         return flags
     _, rank = np.unique(spans_hash(buf, pos, pos + stride), return_inverse=True)
     at = np.full(len(buf) + 1, -1, np.int64)
-    at[pos] = rank + 1
+    at[pos] = rank.astype(np.int32) + 1
     # shards of whole texts
     cut, shards = 0, []
     while cut < len(texts):
