@@ -22,13 +22,24 @@ def query(name: str, sql: str | None = None):
     return put
 
 
+def _load() -> None:
+    from factweave.plans import dump_queries, fact_queries, graph_queries, page_queries, relational_queries, stream_queries, value_queries  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return _queries
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return _sql
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _load()
     return _queries["e2_e3_page_links"](spark, sf_dir)
