@@ -6,6 +6,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .common import mix
+
 PROBES = 8
 #: Tasks that fill the filter: what the driver merges is at most so many filters, one at a time.
 TASKS = 8
@@ -18,7 +20,7 @@ class BlockedBloom:
         self.words, self.probes = np.zeros(max(8, bits // 64 // 8 * 8), np.uint64), probes
 
     def _places(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        h = h.astype(np.int64).view(np.uint64)
+        h = mix(h.astype(np.int64).view(np.uint64))
         block = (h >> np.uint64(32)) % np.uint64(len(self.words) // 8)
         step, at = (h & np.uint64(0xFFFF)) | np.uint64(1), (h >> np.uint64(16)) & np.uint64(0xFFFF)
         bit = (at[:, None] + step[:, None] * np.arange(self.probes, dtype=np.uint64)) & np.uint64(511)

@@ -42,7 +42,7 @@ def _part(url: str | Column, k: int) -> Column:
 
 def canonical(host: Column, path: Column) -> Column:
     """Host without ``www.`` or ``m.``, and the path without closing slashes and ``.html``."""
-    return F.concat(F.regexp_replace(host, r"^(?:www|m)\.", ""), F.lit("/"), F.regexp_replace(F.ltrim(F.lit("/"), path), r"(?:\.html)?/*$", ""))
+    return F.concat(F.regexp_replace(host, r"^(?:www|m)\.", ""), F.lit("/"), F.regexp_replace(F.ltrim(path, F.lit("/")), r"(?:\.html)?/*$", ""))
 
 
 def keys_of(host: Column, path: Column) -> Column:
