@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE_RE, scratch, text_or_empty
+from .common import SPACE_RE, scratch, stash, text_or_empty
 
 #: A group of copies may hold a third of all rows: its rows are dealt over so many sub-keys.
 SALTS = 64
@@ -113,7 +113,7 @@ def exact_dedup(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     spark = docs.sparkSession
     if index is None:
         index = DigestIndex(spark, scratch(spark, "digests"), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = digests(docs)
+    rows = stash(digests(docs), "digests")  # some 50 bytes a row, so that texts are read and hashed once
     index.add(rows)
     return index.judge(rows)
 
