@@ -217,6 +217,8 @@ class Judge:
 
     def block(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         m, langs, scores = self.m, [], []
+        if not m.langs:
+            return [UND] * len(texts), [0.0] * len(texts)
         low = pa.array([(t or "").lower() for t in texts], pa.large_string())
         for row, buf, offs in text_blocks(low, 1 << 40):
             starts, ends, first = runs(IS_LETTER[buf], offs)
@@ -228,7 +230,7 @@ class Judge:
             sums = total[first[1:]] - total[first[:-1]]
             for k in range(len(offs) - 1):
                 n, words = sums[k, -1], first[k + 1] - first[k]
-                if not words or not m.langs or not any(c.isalpha() for c in texts[row + k] or ""):
+                if not words or not any(c.isalpha() for c in texts[row + k] or ""):
                     langs.append(UND)
                     scores.append(0.0)
                     continue
