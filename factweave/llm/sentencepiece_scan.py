@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stash
+from .common import small_batches, stash
 
 #: Characters in a chunk; documents up to this size are one chunk.
 CHUNK = 16_384
@@ -53,6 +53,7 @@ class Codec:
         self.part = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
         self.size = np.array([self._chars(p) for p in model.pieces], np.int64)
         self.longest = int(max(self.size.max(), 1))
+        self.bytes = [bytes([int(p.piece[3:5], 16)]) if p.type == 6 else b"" if p.type == 3 else " ⁇ ".encode() if p.type == 2 else p.piece.replace("▁", " ").encode() for p in model.pieces]
 
     @staticmethod
     def _chars(piece) -> int:
@@ -189,15 +190,18 @@ def encode_parts(docs: DataFrame, model: str, chunk: int = CHUNK) -> tuple[DataF
     Null and empty texts give one chunk without ids.  Repeated rows stay repeated (``row`` tells them apart); other columns are
     ignored; texts of any length are encoded whole.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
     small = F.coalesce(F.length("text"), F.lit(0)) < chunk
 
     def one(batches):
         c = codec(model)
         for b in batches:
-            ids = [c.ids(c.normal(t.as_py() or "")) for t in b.column(2)]
-            n = len(ids)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32()), pa.array(ids, pa.list_(pa.int32()))], ["row", "doc_id", "chunk", "chunks", "ids"])
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
+                ids = [np.array(c.ids(c.normal(t.as_py() or "")), np.int32) for t in part.column(2)]
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32()), pa.array(ids, pa.list_(pa.int32()))], ["row", "doc_id", "chunk", "chunks", "ids"])
 
     def cut(batches):
         margin = 4096
@@ -247,9 +251,15 @@ SLICE = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("chunk", pa.int
 ENTRY = pa.schema([("row", pa.int64()), ("chunk", pa.int32()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("w", pa.float64())])
 
 
-def decode_chunk(c: Codec, ids: list[int], chunk: int) -> str:
-    """The text of a chunk's ids; the first chunk drops the leading mark."""
-    return (c.whole if chunk == 0 else c.part).decode(ids) if ids else ""
+def decode_chunk(c: Codec, ids, chunk: int) -> bytes:
+    """The UTF-8 text of a chunk's ids; the first chunk drops the leading mark."""
+    raw = b"".join(map(c.bytes.__getitem__, ids))
+    return raw[1:] if chunk == 0 and c.prefix and raw[:1] == b" " else raw
+
+
+def decode(ids: list[int], model: str) -> str:
+    """The text of a document's ids; bytes that are no UTF-8 become replacement characters."""
+    return decode_chunk(codec(model), ids, 0).decode("utf-8", "replace")
 
 
 def summary(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
@@ -262,15 +272,16 @@ def summary(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
         c, crc, n, sha = codec(model), 0, 0, hashlib.sha256()
         for k, ids in parts:
             crc, n = zlib.crc32(np.array(ids, "<u4").tobytes(), crc), n + len(ids)
-            sha.update(decode_chunk(c, ids, k).encode())
+            sha.update(decode_chunk(c, ids, k))
         return n, crc, sha.hexdigest()
 
     names = ["doc_id", "n_tokens", "ids_crc32", "n_chunks", "decoded_sha256"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
 
-    def single(batches):
+    def single(batches):  # a document of one chunk: its matrices have one path, so ids and digests come at once
+        c = codec(model)
         for b in batches:
-            got = [digest([(0, x.as_py())]) for x in b.column(1)]
+            got = [digest([(0, c.ids(c.normal(x.as_py() or "")))]) for x in b.column(1)]
             columns = [b.column(0), *([g[k] for g in got] for k in (0, 1)), [1] * len(got), [g[2] for g in got]]
             yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(columns, kinds)], names)
 
@@ -279,6 +290,7 @@ def summary(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
         n, crc, sha = digest([(k, x.as_py()) for k, x in zip(t["chunk"].to_pylist(), t["ids"])])
         return pa.table([pa.array([v], k) for v, k in zip((t["doc_id"][0].as_py(), n, crc, t.num_rows, sha), kinds)], names)
 
-    small, giant = encode_parts(docs, model, chunk)
+    _, giant = encode_parts(docs, model, chunk)
+    small = docs.where(F.coalesce(F.length("text"), F.lit(0)) < chunk)
     schema = "doc_id long, n_tokens long, ids_crc32 long, n_chunks int, decoded_sha256 string"
-    return small.select("doc_id", "ids").mapInArrow(single, schema).unionByName(giant.groupBy("row").applyInArrow(several, schema))
+    return small.select("doc_id", "text").mapInArrow(single, schema).unionByName(giant.groupBy("row").applyInArrow(several, schema))
