@@ -80,6 +80,14 @@ def drop_stash(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python some megabytes at a time, however long they are (a session's own lower limits stay)."""
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20), ("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)):
+        now = spark.conf.get(key).rstrip("bB")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(key, str(most))
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 

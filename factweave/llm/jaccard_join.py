@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, LOWER, drop_stash, mix, runs, spans_hash, stash, text_blocks
+from .common import IS_SPACE, LOWER, drop_stash, mix, runs, small_batches, spans_hash, stash, text_blocks
 from .components import components
 from .exact_dedup import SALTS
 from .bloom import shared_bloom
@@ -283,6 +283,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     share a component only if linked.  Other columns are ignored; an empty table gives no rows.
     Words are compared by 64-bit and sets by 128-bit hashes.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     signed = _classes(docs, words, percent, True).where("n > 0 and doc_id is not null")

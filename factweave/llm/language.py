@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import mix, runs, spans_hash, text_blocks
+from .common import mix, runs, small_batches, spans_hash, text_blocks
 
 UND = "und"
 #: Documents a language that a model is fitted on, and the languages at most: the documented bounds of the fit.
@@ -250,6 +250,7 @@ def identify(docs: DataFrame, train: DataFrame, reject_below: float = 0.0) -> Da
     ``und`` also where the score is under ``reject_below``.  Equal cross-entropies go to the language that
     sorts first.  Repeated rows are judged alike; whole texts of any length count.
     """
+    small_batches(docs.sparkSession)
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(fit(training_counts(train)))
 

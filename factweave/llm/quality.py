@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, runs, spans_hash, text_blocks
+from .common import IS_SPACE, runs, small_batches, spans_hash, text_blocks
 
 #: Labelled documents of each class that the classifier is fitted on (smallest hashes of doc_id): the documented bound.
 PER_CLASS = 1500
@@ -198,6 +198,7 @@ def score(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD) -> DataFr
     any labelled row every score is 0.5.  Repeated rows get equal scores; texts of any length are read whole;
     other columns, whatever their names, are ignored.
     """
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(voter)
 
     def judge(batches):
@@ -210,6 +211,7 @@ def score(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD) -> DataFr
 
 def keep(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD) -> DataFrame:
     """The rows that ``score`` would predict 1, with all their columns."""
+    small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(voter)
     at = docs.columns.index("text")
 

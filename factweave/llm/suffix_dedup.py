@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bloom import shared_bloom
-from .common import mix, spans_hash, stash, text_blocks, text_or_empty
+from .common import mix, small_batches, spans_hash, stash, text_blocks, text_or_empty
 
 LENGTH, GRAM, STRIDE = 400, 32, 100
 #: Bytes of context texts merged at once in a task, and bytes of a shard.
@@ -327,6 +327,7 @@ def _cut(raw: bytes, spans) -> tuple[bytes, int]:
 
 def _apply(docs: DataFrame, length: int, stride: int, finish, schema) -> DataFrame:
     """``finish(batch, spans of its rows)`` over all rows; only rows that lose something are joined with their spans."""
+    small_batches(docs.sparkSession)
     rows = docs.withColumn("__uid", F.xxhash64("doc_id", text_or_empty()))
     spans = stash(repeats(rows.select(F.col("__uid").alias("uid"), text_or_empty().alias("text")), length, stride), "spans")
     bloom = shared_bloom(spans.select("uid"), FILTER_BITS)
