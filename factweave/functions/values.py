@@ -5,20 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from factweave.functions.units import UNITS, dimension, to_standard  # noqa: F401
+
 #: Languages that group digits by comma (fixed values); others swap comma and point.
 COMMA_LANGS = ("en", "ja", "zh")
 #: Scale words and their factors (fixed values).
 SCALES = {"thousand": 1e3, "million": 1e6, "billion": 1e9, "trillion": 1e12, "quadrillion": 1e15}
-#: unit -> (dimension, factor, offset): value * factor + offset is in the dimension's standard unit (fixed values).
-UNITS = {
-    "metre": ("Length", 1.0, 0.0), "kilometre": ("Length", 1000.0, 0.0), "centimetre": ("Length", 0.01, 0.0), "millimetre": ("Length", 0.001, 0.0), "inch": ("Length", 0.0254, 0.0), "foot": ("Length", 0.3048, 0.0), "yard": ("Length", 0.9144, 0.0), "mile": ("Length", 1609.344, 0.0),
-    "gram": ("Mass", 1.0, 0.0), "kilogram": ("Mass", 1000.0, 0.0), "pound": ("Mass", 453.59237, 0.0), "ounce": ("Mass", 28.349523125, 0.0), "tonne": ("Mass", 1e6, 0.0),
-    "second": ("Time", 1.0, 0.0), "minute": ("Time", 60.0, 0.0), "hour": ("Time", 3600.0, 0.0), "day": ("Time", 86400.0, 0.0),
-    "kelvin": ("Temperature", 1.0, 0.0), "degreeCelsius": ("Temperature", 1.0, 273.15), "degreeFahrenheit": ("Temperature", 5 / 9, 459.67 * 5 / 9), "degreeRankine": ("Temperature", 5 / 9, 0.0),
-    "squareMetre": ("Area", 1.0, 0.0), "squareKilometre": ("Area", 1e6, 0.0), "hectare": ("Area", 1e4, 0.0), "squareDecametre": ("Area", 100.0, 0.0), "acre": ("Area", 4046.8564224, 0.0),
-    "kilometrePerHour": ("Speed", 1.0, 0.0), "milePerHour": ("Speed", 1.609344, 0.0), "metrePerSecond": ("Speed", 3.6, 0.0), "knot": ("Speed", 1.852, 0.0),
-    "watt": ("Power", 1.0, 0.0), "kilowatt": ("Power", 1000.0, 0.0), "horsepower": ("Power", 745.699872, 0.0), "litre": ("Volume", 1e-3, 0.0), "cubicMetre": ("Volume", 1.0, 0.0), "hertz": ("Frequency", 1.0, 0.0), "kilohertz": ("Frequency", 1000.0, 0.0), "pascal": ("Pressure", 1.0, 0.0), "bar": ("Pressure", 1e5, 0.0),
-}
 #: English month names (fixed values).
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
 
@@ -51,20 +43,6 @@ def format_number(c: Column) -> Column:
     return F.when(F.abs(c) >= 1000, F.round(c).cast("bigint").cast("string")).otherwise(F.format_string("%.4f", c))
 
 
-def to_standard(value: Column, unit: Column) -> Column:
-    out = F.lit(None).cast("double")
-    for name, (_, factor, offset) in UNITS.items():
-        out = F.when(unit == name, value * factor + offset).otherwise(out)
-    return out
-
-
-def dimension(unit: Column) -> Column:
-    out = F.lit(None).cast("string")
-    for name, (d, _, _) in UNITS.items():
-        out = F.when(unit == name, F.lit(d)).otherwise(out)
-    return out
-
-
 def parse_percent(c: Column) -> Column:
     return F.regexp_extract(c, r"([0-9]{1,3}(?:\.[0-9]+)?) ?%", 1).try_cast("double")
 
