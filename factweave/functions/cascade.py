@@ -28,37 +28,30 @@ def quantity(c: Column, lang: Column, dimension: str | None = None) -> Column:
     Reads ``{{convert|n|unit}}`` and ``{{height|ft=|in=}}`` too. Null if there is none, or if the text is null.
     """
     names = U.labels(dimension)
-    plain = rf"{_NUM}\s*(?:\[\[)?({_alternation(names)})(?!/)(?!\\)(?![\w²³])"
-    convert = rf"(?i)\{{\{{converti?\|{_NUM}\|((?-i:{_alternation(names)}))\s*[|}}]"
-    num = lambda text: V.parse_float(text, lang)
+    plain = rf"{_NUM}(?:\s*(?:\[\[)?|\|)({_alternation(names)})(?!/)(?!\\)(?![\w²³])"
     feet = r"(?i)([0-9]+)\s*(?:ft|feet|foot|′)\.?\s*([0-9]+(?:\.[0-9]+)?)\s*(?:in|inch|inches|″)(?!\w)"
-    height_ft, height_in = (F.regexp_extract(c, rf"(?i)\{{\{{height\|(?:[^{{}}]*\|)?{k}=([0-9.]+)", 1).try_cast("double") for k in ("ft", "in"))
+    height = r"(?i)\{\{height\|(?:[^{}]*\|)?ft=([0-9.]+)(?:\|in=([0-9.]+))?"
+    unit_of = U.literal_map({k: f"'{v}'" for k, v in names.items()})
 
-    def found(pattern):
-        value, unit = num(F.regexp_extract(c, pattern, 1)), F.try_element_at(U.literal_map({k: f"'{v}'" for k, v in names.items()}), F.regexp_extract(c, pattern, 2))
-        return F.when(c.rlike(pattern), F.struct(value.alias("value"), unit.alias("unit"), U.to_standard(value, unit).alias("standard")))
+    def sized(value, unit):
+        return U.let(value, lambda v: U.let(unit, lambda u: F.struct(v.alias("value"), u.alias("unit"), U.to_standard(v, u).alias("standard"))))
 
-    def imperial(ft, inch):
-        cm = ft * 30.48 + F.coalesce(inch, F.lit(0.0)) * 2.54
-        return F.struct(cm.alias("value"), F.lit("centimetre").alias("unit"), (cm / 100).alias("standard"))
+    def imperial(pattern):
+        g = lambda m, k: F.coalesce(F.regexp_extract(m, pattern, k).try_cast("double"), F.lit(0.0))
+        return U.let(F.regexp_extract(c, pattern, 0), lambda m: F.when(m != "", sized(g(m, 1) * 30.48 + g(m, 2) * 2.54, F.lit("centimetre"))))
 
-    out = [F.when(height_ft.isNotNull(), imperial(height_ft, height_in)), found(convert), found(plain)]
-    if dimension in (None, "Length"):
-        out.insert(0, F.when(c.rlike(feet), imperial(F.regexp_extract(c, feet, 1).cast("double"), F.regexp_extract(c, feet, 2).cast("double"))))
-    return F.coalesce(*out)
+    found = U.let(F.regexp_extract(c, plain, 0), lambda m: F.when(m != "", sized(V.parse_float(m, lang), F.try_element_at(unit_of, F.regexp_extract(m, plain, 2)))))
+    return F.coalesce(*([imperial(feet), imperial(height)] if dimension in (None, "Length") else []), found)
 
 
 def money(c: Column, lang: Column, more: dict[str, str] | None = None) -> Column:
     """struct(value, unit): a currency's sign or name before or after a number with an optional scale word."""
     names = {label: unit for unit, ls in (U.CURRENCIES | (more or {})).items() for label in ls.split("|")}
-    sign, tail = _alternation(names), rf"{_NUM}(\s*(?:\[\[)?(?i:thousand|million|billion|trillion|quadrillion))?"
+    sign, tail = _alternation(names), rf"{_NUM}(?:\s*(?:\[\[)?(?i:thousand|million|billion|trillion|quadrillion))?"
     before, after = rf"({sign})\s?{tail}", rf"{tail}(?:\]\])?\s*({sign})(?!\w)"
-    unit = lambda label: F.try_element_at(U.literal_map({k: f"'{v}'" for k, v in names.items()}), label)
-    value = lambda p, k: V.parse_scaled(F.concat(F.regexp_extract(c, p, k), F.regexp_extract(c, p, k + 1)), lang)
-    return (
-        F.when(c.rlike(before), F.struct(value(before, 2).alias("value"), unit(F.regexp_extract(c, before, 1)).alias("unit")))
-        .when(c.rlike(after), F.struct(value(after, 1).alias("value"), unit(F.regexp_extract(c, after, 3)).alias("unit")))
-    )
+    unit_of = U.literal_map({k: f"'{v}'" for k, v in names.items()})
+    read = lambda p, k: U.let(F.regexp_extract(c, p, 0), lambda m: F.when(m != "", F.struct(V.parse_scaled(m, lang).alias("value"), F.try_element_at(unit_of, F.regexp_extract(m, p, k)).alias("unit"))))
+    return F.coalesce(read(before, 1), read(after, 2))
 
 
 def coordinates(c: Column) -> Column:
@@ -85,8 +78,18 @@ def typed_values(c: Column, lang: Column, base: str) -> Column:
     Order: blank node, integer, grouped integer, decimal, picture, month of a year, date, year, rank, scaled number, money, percent,
     quantity, one link, link list, external addresses, number with a reference, text. Empty and null texts give none.
     """
-    t = F.trim(c)
-    one = lambda o, kind="literal", datatype=None: F.array(F.struct(o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), (datatype if isinstance(datatype, Column) else F.lit(datatype).cast("string")).alias("datatype")))
+    return U.let(F.trim(c), lambda t: _cascade(t, lang, base))
+
+
+_VALUES = "array<struct<o:string,o_kind:string,datatype:string>>"
+
+
+def _cascade(t: Column, lang: Column, base: str) -> Column:
+    def one(o, kind="literal", datatype=None):
+        d = datatype if isinstance(datatype, Column) else F.lit(datatype).cast("string")
+        return F.array(F.struct(o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), d.alias("datatype")))
+
+    none = F.array().cast(_VALUES)
     uri = lambda target: F.concat(F.lit(base), wiki_encode(target))
     link = r"\[\[([^\]|:]+)(?:\|[^\]]*)?\]\]"
     many = lambda found: F.transform(F.array_distinct(found), lambda x: F.struct(x.alias("o"), F.lit("uri").alias("o_kind"), F.lit(None).cast("string").alias("datatype")))
@@ -94,26 +97,30 @@ def typed_values(c: Column, lang: Column, base: str) -> Column:
     month = F.lpad(V.month_number(F.regexp_extract(t, month_year, 1)).cast("string"), 2, "0")
     scaled = r"(?i)^[0-9][0-9.,]*\s*(?:\[\[)?(?:thousand|million|billion|trillion|quadrillion)(?:\]\])?$"
     referenced = r"^(-?[0-9][0-9,]*(?:\.[0-9]+)?)\s*(?:\(|<ref|\[http)"
-    date, q, m = V.parse_date(F.regexp_replace(t, r"\[\[|\]\]", "")), quantity(t, lang), money(t, lang)
     number = lambda d: F.when(d == F.floor(d), F.floor(d).cast("string")).otherwise(d.cast("string"))
-    return (
-        F.when(t.isNull() | (t == ""), F.array().cast("array<struct<o:string,o_kind:string,datatype:string>>"))
+    shapes = (
+        F.when(t.isNull() | (t == ""), none)
         .when(t.rlike(r"^;bn[0-9]+;$"), one(F.replace(t, F.lit(";"), F.lit("")), "bnode"))
         .when(t.rlike(r"^-?[0-9]+$"), one(t, datatype=XSD + "integer"))
         .when(t.rlike(r"^-?[0-9]{1,3}(?:,[0-9]{3})+$"), one(F.replace(t, F.lit(","), F.lit("")), datatype=XSD + "integer"))
         .when(t.rlike(r"^-?[0-9]*\.[0-9]+$"), one(t, datatype=XSD + "decimal"))
         .when(t.rlike(rf"(?i)^[^\[\]{{}}|<>\n]+\.(?:{PICTURES})$") & ~t.contains("://"), one(uri(F.concat(F.lit("File:"), t)), "uri"))
         .when(t.rlike(month_year), one(F.concat_ws("-", F.regexp_extract(t, month_year, 2), month), datatype=XSD + "gYearMonth"))
-        .when(date.isNotNull(), one(date, datatype=XSD + "date"))
-        .when(t.rlike(r"^\[\[[0-9]{4}\]\]$"), one(F.regexp_extract(t, "([0-9]{4})", 1), datatype=XSD + "gYear"))
+    )
+    dates = U.let(V.parse_date(F.regexp_replace(t, r"\[\[|\]\]", "")), lambda d: F.when(d.isNotNull(), one(d, datatype=XSD + "date")))
+    ranks = (
+        F.when(t.rlike(r"^\[\[[0-9]{4}\]\]$"), one(F.regexp_extract(t, "([0-9]{4})", 1), datatype=XSD + "gYear"))
         .when(t.rlike(r"^[0-9]+(?:<sup>)?(?:st|nd|rd|th)(?:</sup>)?$"), one(F.regexp_extract(t, "^([0-9]+)", 1), datatype="rank"))
-        .when(t.rlike(scaled), one(number(V.parse_scaled(t, lang)), datatype=XSD + "integer"))
-        .when(m.isNotNull(), one(number(m["value"]), datatype=m["unit"]))
-        .when(V.parse_percent(t).isNotNull(), one(number(V.parse_percent(t)), datatype="percent"))
-        .when(q.isNotNull() & t.rlike(r"^-?[0-9]"), one(number(q["value"]), datatype=q["unit"]))
-        .when(t.rlike(rf"^{link}$"), one(uri(F.regexp_extract(t, link, 1)), "uri"))
+        .when(t.rlike(scaled), U.let(V.parse_scaled(t, lang), lambda v: one(number(v), datatype=XSD + "integer")))
+    )
+    coins = U.let(money(t, lang), lambda m: F.when(m.isNotNull(), one(number(m["value"]), datatype=m["unit"])))
+    percents = U.let(V.parse_percent(t), lambda v: F.when(v.isNotNull(), one(number(v), datatype="percent")))
+    sizes = F.when(t.rlike(r"^-?[0-9]"), U.let(quantity(t, lang), lambda q: F.when(q.isNotNull(), one(number(q["value"]), datatype=q["unit"]))))
+    links = (
+        F.when(t.rlike(rf"^{link}$"), one(uri(F.regexp_extract(t, link, 1)), "uri"))
         .when(t.rlike(link), many(F.transform(F.regexp_extract_all(t, F.lit(link), F.lit(1)), uri)))
         .when(t.rlike(r"(?:https?|ftp)://"), many(F.regexp_extract_all(t, F.lit(r"((?:https?|ftp)://[^\s\]|<>\"]+)"), F.lit(1))))
-        .when(t.rlike(referenced), one(F.replace(F.regexp_extract(t, referenced, 1), F.lit(","), F.lit("")), datatype=F.when(F.regexp_extract(t, referenced, 1).contains("."), XSD + "decimal").otherwise(XSD + "integer")))
-        .otherwise(F.when(plain_text(t) != "", one(plain_text(t))).otherwise(F.array().cast("array<struct<o:string,o_kind:string,datatype:string>>")))
+        .when(t.rlike(referenced), U.let(F.replace(F.regexp_extract(t, referenced, 1), F.lit(","), F.lit("")), lambda n: one(n, datatype=F.when(n.contains("."), XSD + "decimal").otherwise(XSD + "integer"))))
     )
+    texts = U.let(plain_text(t), lambda x: F.when(x != "", one(x)).otherwise(none))
+    return F.coalesce(shapes, dates, ranks, coins, percents, sizes, links, texts)

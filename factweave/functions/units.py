@@ -120,10 +120,18 @@ def literal_map(entries: dict[str, str]) -> Column:
     return F.expr("map(" + ", ".join(f"'{k}', {v}" for k, v in entries.items()) + ")")
 
 
+def let(x: Column, f) -> Column:
+    """f(x) with x evaluated once, however often f names it: keeps plans of nested readings small."""
+    return F.element_at(F.transform(F.array(x), f), 1)
+
+
+def _facts(unit: Column) -> Column:
+    return F.try_element_at(literal_map({k: f"named_struct('f', {f!r}D, 'o', {o!r}D)" for k, (_, f, o) in UNITS.items()}), unit)
+
+
 def to_standard(value: Column, unit: Column) -> Column:
     """The value in its dimension's standard unit; null for unknown units and for currencies."""
-    u = F.try_element_at(literal_map({k: f"named_struct('f', {f!r}D, 'o', {o!r}D)" for k, (_, f, o) in UNITS.items()}), unit)
-    out = value * u["f"] + u["o"]
+    out = let(_facts(unit), lambda u: value * u["f"] + u["o"])
     for name, (_, factor, _) in INVERSE.items():
         out = F.when((unit == name) & (value != 0), factor / value).otherwise(out)
     return out
@@ -131,8 +139,7 @@ def to_standard(value: Column, unit: Column) -> Column:
 
 def from_standard(value: Column, unit: Column) -> Column:
     """A value of the standard unit in another unit of the dimension."""
-    u = F.try_element_at(literal_map({k: f"named_struct('f', {f!r}D, 'o', {o!r}D)" for k, (_, f, o) in UNITS.items()}), unit)
-    return (value - u["o"]) / u["f"]
+    return let(_facts(unit), lambda u: (value - u["o"]) / u["f"])
 
 
 def dimension(unit: Column) -> Column:
