@@ -78,7 +78,7 @@ def typed_values(c: Column, lang: Column, base: str) -> Column:
     Order: blank node, integer, grouped integer, decimal, picture, month of a year, date, year, rank, scaled number, money, percent,
     quantity, one link, link list, external addresses, number with a reference, text. Empty and null texts give none.
     """
-    return U.let(F.trim(c), lambda t: _cascade(t, lang, base))
+    return U.let(F.trim(c, F.lit(" \t\r\n")), lambda t: _cascade(t, lang, base))
 
 
 _VALUES = "array<struct<o:string,o_kind:string,datatype:string>>"

@@ -25,21 +25,20 @@ _FACT = "struct<p:string,o:string,o_kind:string,datatype:string>"
 
 
 def resolve_redirects(redirects: DataFrame, rounds: int = 20) -> DataFrame:
-    """(source, target) with each target at the end of its chain, by doubling; a cycle's members are left out.
+    """(source, target) with each target at the end of its chain, by doubling; sources on a cycle or leading into one are left out.
 
-    Chains of up to 2**rounds links end; the loop stops when nothing moves.
+    Chains of up to 2**rounds links end; the loop stops when no more sources reach an end.
     """
     from factweave.operators.graph import _written
 
-    now = redirects.select("source", "target").groupBy("source").agg(F.min("target").alias("target"))
+    now, sources, left = redirects.groupBy("source").agg(F.min("target").alias("target")), redirects.select(F.col("source").alias("target")).distinct(), None
     for _ in range(rounds):
         step = now.select(F.col("source").alias("target"), F.col("target").alias("next"))
-        moved = _written(now.join(step, "target", "left").select("source", F.coalesce("next", "target").alias("target"), F.col("next").isNotNull().alias("moved")), "redirects")
-        now = moved.select("source", "target").where("source != target")
-        if moved.where("moved and source != target").isEmpty():
+        moved = _written(now.join(step, "target", "left").select("source", F.coalesce("next", "target").alias("target"), F.col("next").isNotNull().alias("open")), "redirects")
+        now, before, left = moved.select("source", "target"), left, moved.where("open").count()
+        if left in (0, before):
             break
-    # what still points to a source runs in a cycle or into one
-    return now.join(now.select(F.col("source").alias("target")).distinct(), "target", "left_anti").select("source", "target")
+    return now.join(sources, "target", "left_anti").select("source", "target")
 
 
 def typed(value: Column, range_: Column, unit: Column, lang: Column, base: str) -> Column:
@@ -114,7 +113,7 @@ def map_pages(properties: DataFrame, templates: DataFrame, rules: DataFrame, ont
     first_range, second_range = ontology.select("property", "range", "functional"), ontology.select(F.col("property").alias("property2"), F.col("range").alias("range2"))
     pairs = pairs.join(first_range, "property", "left").join(second_range, "property2", "left").join(inst.select("page_id", "ordinal", "s"), ["page_id", "ordinal"])
     lang_ = F.lit(lang)
-    parts = F.filter(F.transform(F.split(F.when(F.coalesce("functional", F.lit(False)), F.regexp_replace("value", BREAK, " ")).otherwise(F.col("value")), BREAK), lambda x: F.trim(x)), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(F.when(F.coalesce("functional", F.lit(False)), F.regexp_replace("value", BREAK, " ")).otherwise(F.col("value")), BREAK), lambda x: F.trim(x, F.lit(" \t\r\n"))), lambda x: x != "")
     named = lambda p, v: F.struct(uri(p).alias("p"), v["o"].alias("o"), v["o_kind"].alias("o_kind"), v["datatype"].alias("datatype"))
 
     # one row a part, then one typed reading: the reader's expression is planned once

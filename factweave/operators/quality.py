@@ -47,3 +47,31 @@ def literal_bucket(o: Column, kind: Column) -> Column:
         .when(o.rlike(r"^-?[0-9]+$"), "integer").when(o.rlike(r"^-?[0-9]*\.[0-9]+$"), "double").when(o.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), "date")
         .when(F.lower(o).isin("true", "false"), "boolean").when(o.rlike("^https?://"), "url").otherwise("string")
     )
+
+
+#: Base categories of a rendered object, tried in order (fixed values).
+BASE_CATEGORIES = [
+    ("Integer", "XMLSchema#integer"), ("Double", "XMLSchema#double|/datatype/[^>]+>"), ("Float", "XMLSchema#float"), ("Date", "XMLSchema#date(?!T)"), ("GYear", "XMLSchema#gYear(?!M)"),
+    ("GYearMonth", "XMLSchema#gYearMonth"), ("Time", "XMLSchema#time"), ("GMonthDay", "XMLSchema#gMonthDay"), ("String", '".*"@[a-z]{2}'),
+]
+
+
+def base_category(rendered: Column, resource_base: str) -> Column:
+    """What a rendered N-Triples object is: a typed literal, a text of a language, a resource, another address; else null."""
+    out = F.when(F.lit(False), F.lit(""))
+    for name, pattern in BASE_CATEGORIES:
+        out = out.when(rendered.rlike(pattern), name)
+    return out.when(rendered.startswith("<" + resource_base), "Resource").when(rendered.rlike("^<[^>]+>"), "Url")
+
+
+def pattern_counts(objects: DataFrame, snippet: str, resource_base: str) -> DataFrame:
+    """snippet, pattern, triples: how many objects of a snippet are of which base categories, as ``Date*1 Integer*2``."""
+    n = objects.select(snippet, F.coalesce(base_category(F.col("o"), resource_base), F.lit("Other")).alias("c")).groupBy(snippet, "c").agg(F.count(F.lit(1)).alias("n"))
+    parts = F.transform(F.sort_array(F.collect_list(F.struct("c", "n"))), lambda x: F.concat(x["c"], F.lit("*"), x["n"].cast("string")))
+    return n.groupBy(snippet).agg(F.array_join(parts, " ").alias("pattern"), F.sum("n").alias("triples"))
+
+
+def relevant(triples: DataFrame, gold: DataFrame) -> DataFrame:
+    """Triples about gold subjects or their sub-nodes (``subject__...``): what a comparison has to read."""
+    subjects = gold.select(F.col("s").alias("root")).distinct()
+    return triples.withColumn("root", F.split_part("s", F.lit("__"), F.lit(1))).join(subjects, "root", "left_semi").drop("root")
