@@ -18,25 +18,25 @@ def supplier_pages(spark, d, source, ns=0, title=None):
     return table(spark, d, "supplier").select(F.col("s_suppkey").alias("page_id"), F.lit(ns).alias("ns"), (F.concat(F.lit("supplier "), "s_suppkey") if title is None else title).alias("title"), source.alias("source"))
 
 
-@query("e4_article_categories", f"SELECT s_suppkey AS page_id, {_S} AS s, 'subject' AS p, '{B}Category:' || c AS o, 'uri' AS o_kind, NULL AS datatype FROM supplier, LATERAL (VALUES ('Nation_' || s_nationkey), ('All')) AS t(c)")
+@query("e4_article_categories", f"SELECT s_suppkey AS page_id, {_S} AS s, 'subject' AS p, '{B}Category:' || c AS o, 'uri' AS o_kind, NULL::VARCHAR AS datatype FROM supplier, LATERAL (VALUES ('Nation_' || s_nationkey), ('All')) AS t(c)")
 def e4(spark, d):
     source = F.format_string("x [[Category:nation %d|%s]] y [[Category:All]] z [[Category:All]]", "s_nationkey", "s_name")
     return E.article_categories(supplier_pages(spark, d, source), B)
 
 
-@query("e5_skos_categories", f"SELECT s_suppkey AS page_id, '{B}Category:C' || s_suppkey AS s, p, o, k AS o_kind, NULL AS datatype FROM supplier, LATERAL (VALUES ('prefLabel', 'C' || s_suppkey, 'literal'), ('type', 'Concept', 'uri'), ('broader', '{B}Category:Nation_' || s_nationkey, 'uri'), ('broader', '{B}Category:Top', 'uri')) AS t(p, o, k)")
+@query("e5_skos_categories", f"SELECT s_suppkey AS page_id, '{B}Category:C' || s_suppkey AS s, p, o, k AS o_kind, NULL::VARCHAR AS datatype FROM supplier, LATERAL (VALUES ('prefLabel', 'C' || s_suppkey, 'literal'), ('type', 'Concept', 'uri'), ('broader', '{B}Category:Nation_' || s_nationkey, 'uri'), ('broader', '{B}Category:Top', 'uri')) AS t(p, o, k)")
 def e5(spark, d):
     source = F.format_string("[[Category:Nation_%d| ]] and [[Category:top]]", "s_nationkey")
     return E.skos_categories(supplier_pages(spark, d, source, 14, F.concat(F.lit("Category:C"), "s_suppkey")), B)
 
 
-@query("e7_disambiguation", f"SELECT s_suppkey AS page_id, {_S} || '_%28disambiguation%29' AS s, 'disambiguates' AS p, {_S} || '_Ltd' AS o, 'uri' AS o_kind, NULL AS datatype FROM supplier WHERE s_suppkey % 2 = 0")
+@query("e7_disambiguation", f"SELECT s_suppkey AS page_id, {_S} || '_%28disambiguation%29' AS s, 'disambiguates' AS p, {_S} || '_Ltd' AS o, 'uri' AS o_kind, NULL::VARCHAR AS datatype FROM supplier WHERE s_suppkey % 2 = 0")
 def e7(spark, d):
     source = F.format_string("* [[supplier %d Ltd|x]]\n* [[Other]] %s", "s_suppkey", F.when(F.col("s_suppkey") % 2 == 0, "{{Disambig}}").otherwise(""))
     return E.disambiguations(supplier_pages(spark, d, source, title=F.concat(F.lit("supplier "), "s_suppkey", F.lit(" (disambiguation)"))), B)
 
 
-@query("e12_homepage", f"SELECT s_suppkey AS page_id, {_S} AS s, 'homepage' AS p, CASE s_suppkey % 2 WHEN 0 THEN 'http://named.org/' ELSE 'http://official.org/' END || s_suppkey AS o, 'uri' AS o_kind, NULL AS datatype FROM supplier")
+@query("e12_homepage", f"SELECT s_suppkey AS page_id, {_S} AS s, 'homepage' AS p, CASE s_suppkey % 2 WHEN 0 THEN 'http://named.org/' ELSE 'http://official.org/' END || s_suppkey AS o, 'uri' AS o_kind, NULL::VARCHAR AS datatype FROM supplier")
 def e12(spark, d):
     named = F.format_string("{{Infobox|name=a| Website = [http://named.org/%d site]}}", "s_suppkey")
     listed = F.format_string("text [http://no.org official]\n== External links ==\n* [http://x.org blog]\n* [http://official.org/%d The Official site]\n== Notes ==", "s_suppkey")
@@ -50,7 +50,7 @@ def e14(spark, d):
     return E.persondata(supplier_pages(spark, d, source), B)
 
 
-@query("e15_authority_ids", f"""SELECT s_suppkey AS page_id, {_S} AS s, p, o, 'literal' AS o_kind, NULL AS datatype FROM supplier, LATERAL (SELECT * FROM (VALUES (0, 'individualisedPnd', lpad(s_suppkey::VARCHAR, 9, '1')), (1, 'individualisedPnd', lpad(s_suppkey::VARCHAR, 9, '2')), (1, 'nonIndividualisedPnd', lpad(s_suppkey::VARCHAR, 9, '3')), (2, 'nonIndividualisedPnd', lpad(s_suppkey::VARCHAR, 9, '4'))) AS t(m, p, o) WHERE m = s_suppkey % 3)""")
+@query("e15_authority_ids", f"""SELECT s_suppkey AS page_id, {_S} AS s, p, o, 'literal' AS o_kind, NULL::VARCHAR AS datatype FROM supplier, LATERAL (SELECT * FROM (VALUES (0, 'individualisedPnd', lpad(s_suppkey::VARCHAR, 9, '1')), (1, 'individualisedPnd', lpad(s_suppkey::VARCHAR, 9, '2')), (1, 'nonIndividualisedPnd', lpad(s_suppkey::VARCHAR, 9, '3')), (2, 'nonIndividualisedPnd', lpad(s_suppkey::VARCHAR, 9, '4'))) AS t(m, p, o) WHERE m = s_suppkey % 3)""")
 def e15(spark, d):
     n = lambda c: F.lpad(F.col("s_suppkey").cast("string"), 9, c)
     kind = F.col("s_suppkey") % 3
@@ -65,7 +65,7 @@ def e25(spark, d):
     return E.meta_information(r, B, "http://w.org")
 
 
-@query("e39_semantic_links", f"SELECT s_suppkey AS page_id, {_S} AS s, p, o, k AS o_kind, NULL AS datatype FROM supplier, LATERAL (VALUES ('located in', '{B}Nation_' || s_nationkey, 'uri'), ('label', s_name, 'literal')) AS t(p, o, k)")
+@query("e39_semantic_links", f"SELECT s_suppkey AS page_id, {_S} AS s, p, o, k AS o_kind, NULL::VARCHAR AS datatype FROM supplier, LATERAL (VALUES ('located in', '{B}Nation_' || s_nationkey, 'uri'), ('label', s_name, 'literal')) AS t(p, o, k)")
 def e39(spark, d):
     return E.semantic_links(supplier_pages(spark, d, F.format_string("[[located_in::nation %d]] [[plain]] [[label:= %s]]", "s_nationkey", "s_name")), B)
 
@@ -108,7 +108,7 @@ def k16(spark, d):
     return K.owl_elements(c.unionByName(c.limit(1).withColumn("name", F.lit("owl:Thing"))), p, B)
 
 
-@query("x29_class_expressions", f"""SELECT 'N' || n_nationkey AS name, NULL AS error, s, p, o, k AS o_kind FROM nation, LATERAL (VALUES
+@query("x29_class_expressions", f"""SELECT 'N' || n_nationkey AS name, NULL::VARCHAR AS error, s, p, o, k AS o_kind FROM nation, LATERAL (VALUES
     ('{B}N' || n_nationkey, 'rdfs:subClassOf', '_:N' || n_nationkey || 'x2', 'bnode'), ('_:N' || n_nationkey || 'x2', 'rdf:type', 'owl:Class', 'uri'), ('_:N' || n_nationkey || 'x2', 'owl:intersectionOf', '_:N' || n_nationkey || 'x4', 'bnode'),
     ('_:N' || n_nationkey || 'x1', 'rdf:type', 'owl:Restriction', 'uri'), ('_:N' || n_nationkey || 'x1', 'owl:onProperty', '{B}in', 'uri'), ('_:N' || n_nationkey || 'x1', 'owl:someValuesFrom', '{B}R' || n_regionkey, 'uri'),
     ('_:N' || n_nationkey || 'x4', 'rdf:first', '{B}Nation', 'uri'), ('_:N' || n_nationkey || 'x4', 'rdf:rest', '_:N' || n_nationkey || 'x3', 'bnode'), ('_:N' || n_nationkey || 'x3', 'rdf:first', '_:N' || n_nationkey || 'x1', 'bnode'), ('_:N' || n_nationkey || 'x3', 'rdf:rest', 'rdf:nil', 'uri')) AS t(s, p, o, k)

@@ -28,7 +28,7 @@ _PAGE = f"'{B}Customer_' || c_custkey"
 
 
 @query("e13_infobox", f"""WITH v AS (SELECT c_custkey AS page_id, {_PAGE} AS s, * FROM customer),
-    f AS (SELECT page_id, s, 'customerName' AS p, c_name AS o, 'literal' AS o_kind, NULL AS datatype FROM v
+    f AS (SELECT page_id, s, 'customerName' AS p, c_name AS o, 'literal' AS o_kind, NULL::VARCHAR AS datatype FROM v
     UNION ALL SELECT page_id, s, 'nation', '{B}Nation_' || c_nationkey, 'uri', NULL FROM v
     UNION ALL SELECT page_id, s, 'balance', printf('%.2f', c_acctbal), 'literal', '{_X}decimal' FROM v
     UNION ALL SELECT page_id, s, 'segments', c_mktsegment || ' OTHER', 'literal', NULL FROM v
@@ -72,7 +72,7 @@ def _tables(spark):
 @query("e22_e30_e34_mapping", f"""WITH v AS (SELECT c_custkey AS page_id, {_PAGE} AS s, {_PAGE} || '__Street_' || c_custkey % 7 AS a, * FROM customer),
     n AS (SELECT v.*, k, CASE k WHEN 1 THEN c_mktsegment ELSE 'OTHER' END AS part, s || '__Segments__' || k AS sub FROM v, (VALUES (1), (2)) AS t(k)),
     g AS (SELECT v.*, printf('%.8f', c_custkey % 80 + 0.5) AS lat FROM v)
-    SELECT page_id, s, 'rdf:type' AS p, '{O}' || c AS o, 'uri' AS o_kind, NULL AS datatype FROM v, (VALUES ('Buyer'), ('Agent'), ('Thing')) AS t(c)
+    SELECT page_id, s, 'rdf:type' AS p, '{O}' || c AS o, 'uri' AS o_kind, NULL::VARCHAR AS datatype FROM v, (VALUES ('Buyer'), ('Agent'), ('Thing')) AS t(c)
     UNION ALL SELECT page_id, a, 'rdf:type', '{O}' || c, 'uri', NULL FROM v, (VALUES ('Place'), ('Thing')) AS t(c)
     UNION ALL SELECT page_id, a, '{O}addressOf', s, 'uri', NULL FROM v UNION ALL SELECT page_id, a, '{O}city', '{B}City', 'uri', NULL FROM v
     UNION ALL SELECT page_id, s, '{O}name', c_name, 'literal', '{_X}string' FROM v UNION ALL SELECT page_id, s, '{O}country', '{B}Nation_' || c_nationkey, 'uri', NULL FROM v
