@@ -21,7 +21,6 @@ from factweave.functions.text import wiki_encode
 
 XSD = C.XSD
 BREAK = r"(?i)<br\s*/?>"
-_FACT = "struct<p:string,o:string,o_kind:string,datatype:string>"
 
 
 def resolve_redirects(redirects: DataFrame, rounds: int = 20) -> DataFrame:
@@ -70,70 +69,70 @@ def typed(value: Column, range_: Column, unit: Column, lang: Column, base: str)
 
 
 def instances(properties: DataFrame, templates: DataFrame, base: str) -> DataFrame:
-    """page_id, ordinal, template, class, page, s, corr_class, corr_property: one row a mapped template.
+    """The cells of mapped templates with page, s, class, page_class, nth and first (the template's first cell).
 
     A page's first mapped template describes the page; later ones get ``page__name`` of their first property with ``name`` in
-    its key (else of their first property), numbered ``__1``, ... where that repeats.
+    its key (else of their first property), numbered ``__1``, ... where that repeats. All windows lie within a page, so one
+    shuffle by page_id serves them.
     """
-    tops = properties.where(F.col("error").isNull() & F.col("via").isNull())
-    named = F.struct((~F.lower("key").contains("name")).alias("rest"), "position", F.col("value").alias("v"))
-    t = tops.groupBy("page_id", "title", "ordinal", "template").agg(F.min(named)["v"].alias("name")).join(templates, "template")
-    page = F.concat(F.lit(base), wiki_encode(F.col("title")))
-    order = W.partitionBy("page_id").orderBy("ordinal")
+    cells = properties.where(F.col("error").isNull() & F.col("via").isNull()).select("page_id", "title", "ordinal", "position", "template", "key", "value", "raw").join(templates, "template")
+    by_page, template = W.partitionBy("page_id").orderBy("ordinal"), W.partitionBy("page_id", "ordinal")
+    cells = cells.withColumn("nth", F.dense_rank().over(by_page)).withColumn("page_class", F.first("class").over(by_page)).withColumn("page", F.concat(F.lit(base), wiki_encode(F.col("title"))))
+    named = F.min(F.struct((~F.lower("key").contains("name")).alias("rest"), "position", F.col("value").alias("v"))).over(template)["v"]
+    cells = cells.withColumn("name", named).withColumn("first", F.col("position") == F.min("position").over(template)).withColumn("cells", F.collect_list(F.struct("key", "value")).over(template))
     cut = F.regexp_replace(F.trim(F.substring(C.plain_text(F.col("name")), 1, 50)), r"\s*\([^)]*\)$", "")
-    t = t.withColumn("page", page).withColumn("nth", F.row_number().over(order)).withColumn("page_class", F.first("class").over(order))
-    t = t.withColumn("s", F.when(F.col("nth") == 1, F.col("page")).otherwise(F.concat("page", F.lit("__"), wiki_encode(cut))))
-    again = F.row_number().over(W.partitionBy("page_id", "s").orderBy("ordinal")) - 1
-    t = t.withColumn("again", again)
-    return t.withColumn("s", F.when(F.col("again") > 0, F.concat("s", F.lit("__"), F.col("again").cast("string"))).otherwise(F.col("s"))).drop("again", "name", "title")
+    cells = cells.withColumn("s0", F.when(F.col("nth") == 1, F.col("page")).otherwise(F.concat("page", F.lit("__"), wiki_encode(cut))))
+    cells = cells.withColumn("again", F.dense_rank().over(W.partitionBy("page_id", "s0").orderBy("ordinal")) - 1)
+    return cells.withColumn("s", F.when(F.col("again") > 0, F.concat("s0", F.lit("__"), F.col("again").cast("string"))).otherwise(F.col("s0"))).drop("again", "name", "title", "s0")
 
 
 def map_pages(properties: DataFrame, templates: DataFrame, rules: DataFrame, ontology: DataFrame, ancestors: DataFrame, lang: str, base: str, ontology_base: str) -> DataFrame:
-    """Triples page_id, s, p, o, o_kind, datatype of mapped templates.
+    """Triples page_id, s, p, o, o_kind, datatype of mapped templates, in one pass over the cells.
 
     rules.kind: ``simple`` (value by the property's range; several at ``<br>`` unless functional), ``node`` (a sub-node of
     ``node_class`` a ``<br>`` part, linked by ``property``, holding the part under ``property2``), ``geo`` (a coordinate
     template in the value, or decimal degrees in ``key`` and ``key2``), ``interval`` (start under ``property``, end under
-    ``property2``). Unmapped templates and keys, null or unreadable values give nothing; missing tables' rows neither.
+    ``property2``). Several rules may name a key. Unmapped templates and keys, null or unreadable values give nothing.
     """
-    inst = instances(properties, templates, base)
     uri = lambda c: F.concat(F.lit(ontology_base), c)
     null = F.lit(None).cast("string")
-    node = lambda p, o: F.struct(p.alias("p"), o.alias("o"), F.lit("uri").alias("o_kind"), null.alias("datatype"))
-    types = inst.join(ancestors, "class").select("page_id", "s", F.lit("rdf:type").alias("p"), uri(F.col("ancestor")).alias("o"), F.lit("uri").alias("o_kind"), null.alias("datatype"))
-    up = ancestors.select(F.col("class").alias("page_class"), F.col("ancestor").alias("corr_class"))
-    linked = inst.where("nth > 1 and corr_property is not null").join(up, ["page_class", "corr_class"]).select("page_id", "s", uri(F.col("corr_property")).alias("p"), F.col("page").alias("o"), F.lit("uri").alias("o_kind"), null.alias("datatype"))
-
-    cells = properties.where(F.col("error").isNull() & F.col("via").isNull()).select("page_id", "ordinal", "template", "key", "value", "raw")
-    # the second key of a place comes along by one pass over its template's cells
-    other = W.partitionBy("page_id", "ordinal")
-    pairs = cells.withColumn("cells", F.collect_list(F.struct("key", "value")).over(other)).join(rules, ["template", "key"])
-    second = F.get(F.filter("cells", lambda x: x["key"] == F.col("key2")), F.lit(0))["value"]
-    pairs = pairs.withColumn("value2", F.when(F.col("key2").isNotNull(), second)).drop("cells")
-    first_range, second_range = ontology.select("property", "range", "functional"), ontology.select(F.col("property").alias("property2"), F.col("range").alias("range2"))
-    pairs = pairs.join(first_range, "property", "left").join(second_range, "property2", "left").join(inst.select("page_id", "ordinal", "s"), ["page_id", "ordinal"])
-    lang_ = F.lit(lang)
-    parts = F.filter(F.transform(F.split(F.when(F.coalesce("functional", F.lit(False)), F.regexp_replace("value", BREAK, " ")).otherwise(F.col("value")), BREAK), lambda x: F.trim(x, F.lit(" \t\r\n"))), lambda x: x != "")
-    named = lambda p, v: F.struct(uri(p).alias("p"), v["o"].alias("o"), v["o_kind"].alias("o_kind"), v["datatype"].alias("datatype"))
-
-    # one row a part, then one typed reading: the reader's expression is planned once
-    rows = pairs.withColumn("parts", F.when(F.col("kind").isin("simple", "node"), parts).when(F.col("kind") == "interval", F.split("value", r"\s+(?:-|–|—|to)\s+|–|—")).otherwise(F.array(F.col("value"))))
-    rows = rows.select("*", F.posexplode("parts").alias("k", "part")).where((F.col("kind") != "interval") | (F.col("k") < 2))
+    fact = lambda s, p, o, kind="uri", datatype=null: F.struct(s.alias("s"), p.alias("p"), o.alias("o"), (F.lit(kind) if isinstance(kind, str) else kind).alias("o_kind"), datatype.alias("datatype"))
+    none = F.array().cast("array<struct<s:string,p:string,o:string,o_kind:string,datatype:string>>")
+
+    ups = ancestors.groupBy("class").agg(F.sort_array(F.collect_set("ancestor")).alias("ups"))
+    known = rules.join(ontology.select("property", "range", "functional"), "property", "left").join(ontology.select(F.col("property").alias("property2"), F.col("range").alias("range2")), "property2", "left")
+    known = known.groupBy("template", "key").agg(F.collect_list(F.struct("kind", "property", "property2", "key2", "node_class", "unit", "range", "range2", "functional")).alias("rules"))
+    cells = instances(properties, templates, base).join(ups, "class", "left").join(ups.toDF("page_class", "page_ups"), "page_class", "left").join(known, ["template", "key"], "left")
+
+    r = "page_id s first nth page ups page_ups corr_class corr_property key value raw cells".split()
+    rows = cells.select(*r, F.posexplode_outer("rules").alias("rule_no", "rule")).select(*r, "rule_no", "rule.*")
+    split = F.filter(F.transform(F.split(F.when(F.coalesce("functional", F.lit(False)), F.regexp_replace("value", BREAK, " ")).otherwise(F.col("value")), BREAK), lambda x: F.trim(x, F.lit(" \t\r\n"))), lambda x: x != "")
+    ends = F.slice(F.split("value", r"\s+(?:-|–|—|to)\s+|–|—"), 1, 2)
+    rows = rows.withColumn("parts", F.when(F.col("kind").isin("simple", "node"), split).when(F.col("kind") == "interval", ends))
+    rows = rows.select("*", F.posexplode_outer("parts").alias("k", "part"))
     in_second = (F.col("kind") == "node") | ((F.col("kind") == "interval") & (F.col("k") == 1))
-    rows = rows.withColumn("v", typed(F.col("part"), F.when(in_second, F.col("range2")).otherwise(F.col("range")), F.col("unit"), lang_, base))
-    simple = rows.where("kind in ('simple', 'interval') and v is not null").select("page_id", "s", named(F.when(in_second, F.col("property2")).otherwise(F.col("property")), F.col("v")).alias("f")).select("page_id", "s", "f.*")
+    value2 = F.get(F.filter("cells", lambda x: x["key"] == F.col("key2")), F.lit(0))["value"]
+    place = F.when(F.col("kind") == "geo", F.coalesce(C.coordinates(F.col("raw")), F.struct(F.col("value").try_cast("double").alias("lat"), value2.try_cast("double").alias("lon"))))
+    rows = rows.withColumn("g", place).withColumn("v", typed(F.col("part"), F.when(in_second, F.col("range2")).otherwise(F.col("range")), F.col("unit"), F.lit(lang), base))
+
+    s, v = F.col("s"), F.col("v")
+    read = lambda subject, p: fact(subject, uri(p), v["o"], v["o_kind"], v["datatype"])
     sub = F.concat("s", F.lit("__"), wiki_encode(F.col("key")), F.lit("__"), (F.col("k") + 1).cast("string"))
-    nodes = rows.where("kind = 'node' and v is not null").withColumn("sub", sub).select(
-        "page_id", F.explode(F.array(
-            F.struct(F.col("s"), node(uri(F.col("property")), F.col("sub")).alias("f")), F.struct(F.col("sub").alias("s"), node(F.lit("rdf:type"), uri(F.col("node_class"))).alias("f")), F.struct(F.col("sub").alias("s"), named(F.col("property2"), F.col("v")).alias("f")),
-        )).alias("x")).select("page_id", "x.s", "x.f.*")
-    place = F.coalesce(C.coordinates(F.col("raw")), F.struct(F.col("value").try_cast("double").alias("lat"), F.col("value2").try_cast("double").alias("lon")))
-    deg = lambda c: F.format_string("%.8f", c)
-    number = lambda p, o: F.struct(F.lit(p).alias("p"), o.alias("o"), F.lit("literal").alias("o_kind"), F.lit(XSD + "double").alias("datatype"))
-    places = pairs.where("kind = 'geo'").withColumn("g", place).where("g.lat between -90 and 90 and g.lon between -180 and 180").select(
-        "page_id", "s", F.explode(F.array(number("geo:lat", deg(F.col("g.lat"))), number("geo:long", deg(F.col("g.lon"))), F.struct(F.lit("georss:point").alias("p"), F.concat_ws(" ", deg(F.col("g.lat")), deg(F.col("g.lon"))).alias("o"), F.lit("literal").alias("o_kind"), null.alias("datatype")))).alias("f"),
-    ).select("page_id", "s", "f.*")
-    return types.unionByName(linked).unionByName(simple).unionByName(nodes).unionByName(places)
+    node = U.let(sub, lambda x: F.array(fact(s, uri(F.col("property")), x), fact(x, F.lit("rdf:type"), uri(F.col("node_class"))), read(x, F.col("property2"))))
+    lat, lon = F.format_string("%.8f", "g.lat"), F.format_string("%.8f", "g.lon")
+    number = lambda p, o: fact(s, F.lit(p), o, "literal", F.lit(XSD + "double"))
+    spot = F.array(number("geo:lat", lat), number("geo:long", lon), fact(s, F.lit("georss:point"), F.concat_ws(" ", lat, lon), "literal"))
+    found = (
+        F.when((F.col("kind") == "node") & v.isNotNull(), node)
+        .when(v.isNotNull(), F.array(read(s, F.when(in_second, F.col("property2")).otherwise(F.col("property")))))
+        .when(F.expr("g.lat between -90 and 90 and g.lon between -180 and 180"), spot).otherwise(none)
+    )
+    # what the template itself says comes once, with the first row of its first cell
+    types = F.transform("ups", lambda c: fact(s, F.lit("rdf:type"), uri(c)))
+    link = F.when((F.col("nth") > 1) & F.array_contains("page_ups", F.col("corr_class")) & F.col("corr_property").isNotNull(), F.array(fact(s, uri(F.col("corr_property")), F.col("page")))).otherwise(none)
+    once = F.col("first") & (F.coalesce("rule_no", F.lit(0)) == 0) & (F.coalesce("k", F.lit(0)) == 0)
+    own = F.when(once, F.concat(F.coalesce(types, none), link)).otherwise(none)
+    return rows.select("page_id", F.explode(F.concat(found, own)).alias("f")).select("page_id", "f.*")
 
 
 def unmapped(properties: DataFrame, templates: DataFrame, rules: DataFrame) -> DataFrame:
