@@ -70,7 +70,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
 
 
 def _classes(docs: DataFrame, words: int, percent: int, tokens: bool) -> DataFrame:
-    """doc_id, n, digest (and with ``tokens`` the shingles of the counted zone) of the rows."""
+    """doc_id, n, digest (and with ``tokens`` the shingles of the counted zone, else h, a hash of the text) of the rows."""
     zone = np.uint64(int(2**64 * min(0.9, 2 * (100 - percent) / 100)))
 
     def sign(batches):
@@ -84,7 +84,7 @@ def _classes(docs: DataFrame, words: int, percent: int, tokens: bool) -> DataFra
                 digests = [digest_of(s) for s in sets]
                 columns = [own, pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary())]
                 if not tokens:
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n", "digest"])
+                    yield pa.RecordBatch.from_arrays([*columns, b.column(2).slice(at - len(sets), len(sets))], ["doc_id", "n", "digest", "h"])
                     continue
                 some = []
                 for d, s in zip(digests, sets):  # a set that this task has sent already goes without its shingles
@@ -95,8 +95,8 @@ def _classes(docs: DataFrame, words: int, percent: int, tokens: bool) -> DataFra
                     seen = set()
                 yield pa.RecordBatch.from_arrays([*columns, _lists(some)], ["doc_id", "n", "digest", "tokens"])
 
-    schema = "doc_id long, n long, digest binary" + ", tokens array<long>" * tokens
-    return docs.select("doc_id", "text").mapInArrow(sign, schema)
+    schema = "doc_id long, n long, digest binary, " + ("tokens array<long>" if tokens else "h long")
+    return docs.select("doc_id", "text", *([] if tokens else [F.xxhash64("text").alias("h")])).mapInArrow(sign, schema)
 
 
 def _frequent(classes: DataFrame) -> np.ndarray:
@@ -218,10 +218,10 @@ def _meet(percent: int):
 
 def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """rep and its whole sorted set, of the wanted classes: found again in the texts, not kept for all."""
-    ids = wanted.join(classes.select("rep", "n", "digest"), "rep")
+    ids = wanted.join(classes.select("rep", "least_id", "digest"), "rep")
 
     ids = stash(ids, "wanted")
-    held = shared_bloom(ids.select(F.xxhash64("rep").alias("h")), FILTER_BITS)
+    held = shared_bloom(ids.select(F.xxhash64("least_id").alias("h")), FILTER_BITS)
 
     def sets(batches):
         for b in batches:
@@ -234,7 +234,7 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) ->
                 yield pa.RecordBatch.from_arrays([own, pa.array([digest_of(s) for s in got], pa.binary()), _lists(got)], ["doc_id", "digest", "items"])
 
     found = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "doc_id long, digest binary, items array<long>")
-    found = found.withColumnRenamed("doc_id", "rep").join(ids, ["rep", "digest"]).select("rep", "items")
+    found = found.withColumnRenamed("doc_id", "least_id").join(ids, ["least_id", "digest"]).select("rep", "items")
     return stash(found.dropDuplicates(["rep"]), "sets")
 
 
@@ -283,12 +283,20 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     share a component only if linked.  Other columns are ignored; an empty table gives no rows.
     Words are compared by 64-bit and sets by 128-bit hashes.
     """
+    return _components_of_rows(docs, words, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def _components_of_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """``jaccard_components`` with h, a hash that tells apart the texts of one doc_id."""
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    signed = _classes(docs, words, percent, True).where("n > 0 and doc_id is not null")
-    # copies: one row a class, of any number of rows (a class's shingles come from whichever row carried them)
-    classes = stash(signed.groupBy("n", "digest").agg(F.min("doc_id").alias("rep"), F.max("tokens").alias("tokens")), "classes")
+    # rows without an id go first: they must not be the ones that carry a class's shingles
+    signed = _classes(docs.where("doc_id is not null"), words, percent, True).where("n > 0")
+    # copies: one row a class, of any number of rows (a class's shingles come from whichever row carried them); rep is a
+    # number of the class, as one doc_id can be the least of several
+    classes = signed.groupBy("n", "digest").agg(F.min("doc_id").alias("least_id"), F.max("tokens").alias("tokens"))
+    classes = stash(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
     frequent = spark.sparkContext.broadcast(_frequent(classes))
     able = classes.where(f"{percent} * n <= 100 * (n - 1) or {percent} * (n + 1) <= 100 * n")  # a smaller set is similar to its equals only
     index = stash(_indexed(able, frequent, percent).select("rep", "n", "gid", "share", "rare", "hot"), "index")
@@ -361,13 +369,19 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
 
     # back to the rows, copies dealt by salt
     rows = _classes(docs, words, percent, False).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    by_salt = rows.where("n > 0 and doc_id is not null").groupBy("n", "digest", "salt").agg(F.min("doc_id").alias("m"))
-    whole = by_salt.groupBy("n", "digest").agg(F.min("m").alias("rep"), F.collect_list("salt").alias("salts"))
-    whole = whole.join(found.withColumnRenamed("node", "rep"), "rep", "left").select("n", "digest", F.coalesce("component", "rep").alias("component_id"), F.explode("salts").alias("salt"))
-    return rows.join(whole, ["n", "digest", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"))
+    by_salt = rows.where("n > 0 and doc_id is not null").groupBy("n", "digest", "salt").agg(F.count(F.lit(1)).alias("k"))
+    whole = by_salt.groupBy("n", "digest").agg(F.collect_list("salt").alias("salts"))
+    ids = classes.select("n", "digest", "rep", "least_id")
+    linked = found.withColumnRenamed("node", "rep").join(ids, "rep")
+    least = linked.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    linked = linked.join(least, "component").select("n", "digest", "component_id")
+    # a class without links is its own component
+    named = ids.select("n", "digest", F.col("least_id").alias("component_id")).unionByName(linked).groupBy("n", "digest").agg(F.min("component_id").alias("component_id"))
+    whole = whole.join(named, ["n", "digest"]).select("n", "digest", "component_id", F.explode("salts").alias("salt"))
+    return rows.join(whole, ["n", "digest", "salt"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id")).alias("component_id"), "h")
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The rows whose doc_id is their component's, with the columns of ``docs``."""
-    kept = jaccard_components(docs, words, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    kept = _components_of_rows(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
+    return docs.join(kept, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__h")), "left_semi")

@@ -99,6 +99,23 @@ def test_jaccard_join(spark, odd, words, percent, monkeypatch):
         assert jaccard_join.keep_one(frame(spark, rows)).select("doc_id").distinct().count() == len({x[2] for x in want} - {"None"})
 
 
+def test_jaccard_null_id_first(spark):
+    """The row that a task sees first carries its set's shingles, and has no id."""
+    text = " ".join(f"w{k}" for k in range(100))
+    docs = frame(spark, [(None, text), (9, text), (10, text + " end")]).coalesce(1)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(docs).collect()}
+    assert got == {None: None, 9: 9, 10: 9}
+    assert [r["doc_id"] for r in jaccard_join.keep_one(docs).collect()] == [9]
+
+
+def test_jaccard_two_texts_under_one_id(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(100)) for c in "ab")
+    docs = frame(spark, [(5, a), (5, b), (3, a + " end"), (7, b + " end")])
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_join.jaccard_components(docs).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (7, 5)]
+    assert sorted((r["doc_id"], r["text"]) for r in jaccard_join.keep_one(docs).collect()) == [(3, a + " end"), (5, b)]
+
+
 def brute_removed(rows, length):
     raw = [(t or "").encode() for _, t in rows]
     seen = Counter(t[i : i + length] for t in raw for i in range(len(t) - length + 1))
