@@ -71,6 +71,6 @@ def g1(spark, d):
     """Documents as pages of markup: a section, a template with links, and the text."""
     from factweave.operators.wikitext import parse_pages
 
-    source = F.concat(F.lit("== Head ==\n{{Infobox doc\n| lang = "), "lang", F.lit("\n| source = [["), "source", F.lit("|the source]]\n}}\n"), F.substring("text", 1, 500))
+    source = F.concat(F.lit("== Head ==\n{{Infobox doc\n| lang = "), "lang", F.lit("\n| source = [["), "source", F.lit("|the source]]\n}}\n"), F.col("text"))
     pages = table(spark, d, "documents").select(F.col("doc_id").alias("page_id"), F.col("source").alias("title"), F.regexp_replace(source, r"[{\[|]{2,}(?=[^Is])", " ").alias("source"))
     return parse_pages(pages)

@@ -55,3 +55,9 @@ def test_entry(spark):
 
     assert e.entry(spark).count() > 0
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_wikitext_nodes_of_whole_texts(spark, tmp_path):
+    text = "word " * 400 + "LASTWORD"
+    spark.createDataFrame([(1, text, "en", "s")], "doc_id long, text string, lang string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert any("LASTWORD" in str(r) for r in QUERIES["g1_wikitext_nodes"](spark, str(tmp_path)).collect())
