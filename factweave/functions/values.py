@@ -13,6 +13,11 @@ COMMA_LANGS = ("en", "ja", "zh")
 SCALES = {"thousand": 1e3, "million": 1e6, "billion": 1e9, "trillion": 1e12, "quadrillion": 1e15}
 #: English month names (fixed values).
 MONTHS = ["january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december"]
+#: Months by language: names of each number (fixed values).
+MONTH_NAMES = {
+    "en": [[m] for m in MONTHS],
+    "de": [["januar", "jänner"], ["februar", "feber"], ["märz"], ["april"], ["mai"], ["juni"], ["juli"], ["august"], ["september"], ["oktober"], ["november"], ["dezember"]],
+}
 
 
 def _plain(c: Column, lang: Column) -> Column:
@@ -68,24 +73,25 @@ def within_permille(a: Column, b: Column) -> Column:
     return F.abs(a - b) <= F.abs(b) * 0.001
 
 
-def month_number(c: Column) -> Column:
+def month_number(c: Column, lang: str = "en") -> Column:
     """1 to 12, or null."""
-    k = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(c)).cast("int")
-    return F.when(k > 0, k)
+    k = F.coalesce(*(F.when(F.lower(c).isin(*names), F.lit(m)) for m, names in enumerate(MONTH_NAMES[lang], 1)))
+    return k.cast("int")
 
 
-def parse_date(c: Column) -> Column:
-    """ISO, ``d Month y`` or ``Month d, y`` as an ISO string, checked against the calendar; null if none."""
-    names = "(?i)(" + "|".join(MONTHS) + ")"
+def parse_date(c: Column, lang: str = "en") -> Column:
+    """ISO, ``d Month y`` (German ``d. Month y``) or ``Month d, y`` as an ISO string, checked against the calendar; null if none."""
+    names = "(?i)(" + "|".join(m for ms in MONTH_NAMES[lang] for m in ms) + ")"
+    dot = r"\.?" if lang == "de" else ""
     iso = F.regexp_extract(c, r"\b([0-9]{4}-[0-9]{2}-[0-9]{2})\b", 1)
-    dmy = F.regexp_extract(c, rf"(?i)\b([0-9]{{1,2}}) {names[4:]},? ([0-9]{{4}})\b", 0)
-    mdy = F.regexp_extract(c, rf"(?i)\b{names[4:]} ([0-9]{{1,2}}),? ([0-9]{{4}})\b", 0)
+    dmy = F.regexp_extract(c, rf"(?iu)\b([0-9]{{1,2}}){dot} {names[4:]},? ([0-9]{{4}})\b", 0)
+    mdy = F.regexp_extract(c, rf"(?iu)\b{names[4:]} ([0-9]{{1,2}}),? ([0-9]{{4}})\b", 0)
 
     def build(y, m, d):
-        return F.concat_ws("-", y, F.lpad(month_number(m).cast("string"), 2, "0"), F.lpad(d, 2, "0"))
+        return F.concat_ws("-", y, F.lpad(month_number(m, lang).cast("string"), 2, "0"), F.lpad(d, 2, "0"))
 
-    a = build(F.regexp_extract(dmy, r"([0-9]{4})$", 1), F.regexp_extract(dmy, r"([A-Za-z]+)", 1), F.regexp_extract(dmy, r"^([0-9]+)", 1))
-    b = build(F.regexp_extract(mdy, r"([0-9]{4})$", 1), F.regexp_extract(mdy, r"([A-Za-z]+)", 1), F.regexp_extract(mdy, r" ([0-9]{1,2})", 1))
+    a = build(F.regexp_extract(dmy, r"([0-9]{4})$", 1), F.regexp_extract(dmy, r"(\p{L}+)", 1), F.regexp_extract(dmy, r"^([0-9]+)", 1))
+    b = build(F.regexp_extract(mdy, r"([0-9]{4})$", 1), F.regexp_extract(mdy, r"(\p{L}+)", 1), F.regexp_extract(mdy, r" ([0-9]{1,2})", 1))
     found = F.when(iso != "", iso).when(dmy != "", a).when(mdy != "", b)
     return F.when(F.try_to_date(found, "yyyy-MM-dd").isNotNull(), found)
 

@@ -81,7 +81,7 @@ def persondata(pages: DataFrame, base: str, lang: str = "en") -> DataFrame:
     half = lambda k: F.when(F.size(parts) == 2, F.trim(F.get(parts, F.lit(k))))
     place = lambda c: F.nullif(F.regexp_extract(c, r"\[\[([^\]|]+)", 1), F.lit(""))
     uri = lambda c: F.when(place(c).isNotNull(), F.concat(F.lit(base), wiki_encode(place(c))))
-    date = lambda c: parse_date(F.regexp_replace(c, r"\[\[|\]\]", ""))
+    date = lambda c: parse_date(F.regexp_replace(c, r"\[\[|\]\]", ""), lang)
     facts = F.array(
         _fact("name", name), _fact("givenName", half(1)), _fact("surname", half(0)), _fact("description", description), _fact("birth", date(born), datatype="date"), _fact("birthPlace", uri(birthplace), "uri"),
         _fact("death", date(died), datatype="date"), _fact("deathPlace", uri(deathplace), "uri"), _fact("type", F.lit("Person"), "uri"),

@@ -88,3 +88,11 @@ def test_extractors_of_nothing(spark):
     pages = spark.createDataFrame([(1, "a", 0, None), (2, "b", 0, ""), (3, "c", 0, "no marks")], PAGES)
     for f in (E.article_categories, E.disambiguations, E.homepage, E.persondata, E.authority_ids, E.semantic_links):
         assert f(pages, "r:").count() == 0
+
+
+def test_german_persondata(spark):
+    source = "{{Personendaten\n|NAME=Müller, Jörg\n|KURZBESCHREIBUNG=Maler\n|GEBURTSDATUM=[[12. März]] [[1950]]\n|GEBURTSORT=[[Köln]]\n|STERBEDATUM=1. Jänner 2001\n|STERBEORT=[[Wien]]\n}}"
+    pages = spark.createDataFrame([(1, "Jörg Müller", source)], "page_id long, title string, source string")
+    got = {r["p"]: r["o"] for r in E.persondata(pages, "http://x/", "de").collect()}
+    assert got["birth"] == "1950-03-12" and got["death"] == "2001-01-01"
+    assert (got["givenName"], got["surname"], got["description"]) == ("Jörg", "Müller", "Maler")
