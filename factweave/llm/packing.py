@@ -27,24 +27,25 @@ FILLED = 0.985
 #: Characters from which the slower library takes over, whose regular expressions need no stack.
 LONG_TEXT = 400_000
 
-_encoders: dict[str, object] = {}
+_encoders: dict[tuple[str, bool], object] = {}
 
 
-def encoder(path: str):
+def encoder(path: str, special: bool = False):
     """text -> uint32 ids of the byte-level BPE in a ``tokenizers`` file, through its rank table where that is faster.
 
     Beside ``name.json`` the same vocabulary may lie as ``name.tiktoken``; both libraries then give the same ids
-    (a test compares them), and only very long texts use the first.
+    (a test compares them), and only very long texts use the first.  With ``special``, special tokens in a text have
+    ids of their own, as by the library's defaults; without, they are read as any text.
     """
-    if path in _encoders:
-        return _encoders[path]
+    if (path, special) in _encoders:
+        return _encoders[path, special]
     import base64
     import os
 
     from tokenizers import Tokenizer
 
     slow = Tokenizer.from_file(path)
-    slow.encode_special_tokens = True
+    slow.encode_special_tokens = not special
     ranks_path = path[: -len(".json")] + ".tiktoken"
     fast = None
     if os.path.exists(ranks_path):
@@ -53,14 +54,14 @@ def encoder(path: str):
         pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
         with open(ranks_path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        fast = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={t.content: i for i, t in slow.get_added_tokens_decoder().items() if t.special} if special else {})
 
     def encode(text: str) -> np.ndarray:
         if fast is None or len(text) > LONG_TEXT:
             return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
-        return fast.encode_to_numpy(text, disallowed_special=())
+        return fast.encode_to_numpy(text, allowed_special="all", disallowed_special=())
 
-    _encoders[path] = encode
+    _encoders[path, special] = encode
     return encode
 
 
@@ -71,7 +72,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
     """
 
     def cut(batches):
-        encode = encoder(tokenizer)
+        encode = encoder(tokenizer, special=True)
         for b in batches:
             rows = [[], [], [], [], []]
             for doc, text in zip(b.column(0).to_pylist(), b.column(1)):

@@ -231,6 +231,18 @@ def test_fast_ids_equal_the_library(spark, small):
     assert all(packing.encoder(path)(x).tolist() == t.encode(x, add_special_tokens=False).ids for x in texts)
 
 
+def test_packing_reads_special_tokens_as_the_library(spark):
+    from tokenizers import Tokenizer
+
+    path = queries.tokenizer_file("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "a  <|endoftext|>  b\n<|endoftext|><|endoftext|> c", "<|endoftext", "x " * packing.LONG_TEXT + "<|endoftext|>", "plain"]
+    got = Counter((r["doc_id"], r["ids_crc32"], r["length"]) for r in packing.pack(frame(spark, list(enumerate(texts))), path, 1 << 20).collect())
+    want = [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert want[0] == [64, 50256, 65, 0]
+    assert got == Counter((k, zlib.crc32(np.array(ids, "<u4").tobytes()), len(ids)) for k, ids in enumerate(want))
+
+
 def test_crossover_keeps_every_piece():
     rng = random.Random(2)
     sizes = [rng.randint(1, 100) for _ in range(400)]
