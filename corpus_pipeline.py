@@ -24,7 +24,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose what repeats over 400 bytes."""
+    """Texts lose what repeats over 400 bytes: shorter passages of over 50 words (51 to about 62 words) stay."""
     return suffix_dedup.clean(docs)
 
 
