@@ -284,6 +284,24 @@ def test_licenses(spark):
     assert sorted(map(str, got)) == sorted(map(str, [(1, "MIT", 1, 0), (2, "LGPL", 1, 1), (3, "", 0, 1), (4, "", 0, 0), (5, "", 0, 0), (6, "", 0, 0), (7, "Apache-2.0,GPL-2.0,ISC", 3, 0), (7, "Apache-2.0,GPL-2.0,ISC", 3, 0), (None, "MIT", 1, 0)]))
 
 
+def test_license_texts_and_wrapped_lines(spark):
+    bsd, isc, mit = (licenses.BODIES[k][0] for k in ("BSD", "ISC", "MIT"))
+    wrap = lambda t, mark="": ("\n" + mark).join(re.findall(r".{1,40}(?: |$)", t))
+    texts = [
+        (bsd, "BSD"), (wrap(bsd), "BSD"), ("some text\n\n" + wrap(isc, " * ") + "\n\nmore text", "ISC"), (mit, "MIT"), (wrap(mit), "MIT"), ("Licensed under the Apache\nLicense, Version 2.0", "Apache-2.0"),
+        ("Released under GPL version 2.", "GPL-2.0"), ("Released under the GNU GPL v3.", "GPL-3.0"), ("Released under the MIT licence.", "MIT"),
+    ]
+    for family in ("GPL-2.0", "GPL-3.0"):
+        texts.append((wrap("This program is free software; you can redistribute it and/or modify it under the terms of the " + licenses.BODIES[family][0] + " of the License, or (at your option) any later version."), family))
+    got = {r["doc_id"]: (r["families"], r["n_licensed"], r["n_unknown"]) for r in licenses.scan(frame(spark, [(k, t) for k, (t, _) in enumerate(texts)])).collect()}
+    assert got == {k: (family, 1, 0) for k, (_, family) in enumerate(texts)}
+
+
+def test_no_template_is_confirmed_without_a_candidate_word():
+    for family, needed, least in licenses.templates():
+        assert sum(not re.search(licenses.CANDIDATE, g) for g in needed) < least, (family, needed)
+
+
 def test_license_gate_is_exact():
     assert all(re.search(licenses.GATE, name) for names in licenses.NAMES.values() for name in names)
 
