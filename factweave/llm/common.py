@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    Only where the session names none (a local test) a local folder is set.
+    Only where the session names none and runs on one machine (a test) a local folder is set.
     """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
@@ -34,6 +35,8 @@ def shared_dir(spark: SparkSession) -> str:
         if held.isDefined():
             where = held.get()
         else:
+            if spark.sparkContext.master.split("[")[0] != "local":
+                raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
             where = "file://" + tempfile.mkdtemp(prefix="factweave-")
             spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -67,7 +70,7 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", 16 << 20).parquet(path)  # a writer holds a row group in memory
     out = spark.read.schema(df.schema).parquet(path)
     out._stash = path
     return out
@@ -82,12 +85,29 @@ def drop_stash(df: DataFrame) -> None:
 
 def small_batches(spark: SparkSession) -> None:
     """Texts go to Python some megabytes at a time, however long they are (a session's own lower limits stay)."""
-    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20), ("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)):
+    for key, most in (("spark.sql.execution.arrow.maxBytesPerBatch", 2 << 20), ("spark.sql.execution.arrow.maxRecordsPerBatch", 2000)):
         now = spark.conf.get(key).rstrip("bB")
         if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Return a worker's freed memory to the system: idle workers stay alive between stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name made from ``name`` that ``df`` lacks."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
 

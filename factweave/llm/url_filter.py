@@ -1,17 +1,15 @@
 """URL filters: host and path rules, then a list of canonical URLs.
 
-The list is held as a blocked Bloom filter of a fixed number of bits.  A URL's keys that the filter passes
+The list is held as a blocked Bloom filter whose size follows the list up to a ceiling.  A URL's keys that the filter passes
 go to an exact hash join with the list, which removes false positives; the others never leave their task.
 """
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .bloom import shared_bloom
+from .bloom import passes, shared_bloom
 
 #: (verdict, host and path) of the query; a rule fits its host and all subdomains.
 RULES = [
@@ -23,7 +21,6 @@ RULES = [
 ]
 #: Canonical URLs that the query blocks where no rule fits; "site/" stands for the whole site.
 LISTED = ["cheap-pills.example.com/", "cheap-pills.example.net/", "casino-win.example.net/", "casino-win.example.com/"]
-BITS = 1 << 20
 
 
 def host_of(url: str | Column = "url") -> Column:
@@ -54,7 +51,7 @@ def keys_of(host: Column, path: Column) -> Column:
     return F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.concat(F.array(canonical(host, path)), sites)))
 
 
-def url_filter(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BITS) -> DataFrame:
+def url_filter(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and listed_key of every row.
 
     The longest rule that fits decides (equally long ones: the first stated); where none fits, a page is blocked if its canonical URL or a
@@ -76,10 +73,7 @@ def url_filter(pages: DataFrame, listed: DataFrame, rules=RULES, bits: int = BIT
     keys = listed.where("key is not null").select("key").distinct()
     held = shared_bloom(keys.select(F.xxhash64("key").alias("h")), bits)
 
-    @F.pandas_udf(T.BooleanType())
-    def possible(h: pd.Series) -> pd.Series:
-        return pd.Series(held.value.has(h.to_numpy()))
-
+    possible = passes(held)
     free = rows.where("rule is null and host != ''").select("host", "path", F.explode(keys_of(F.col("host"), F.col("path"))).alias("key"))
     hits = free.where(possible(F.xxhash64("key")))
     found = hits.join(keys.hint("shuffle_hash"), "key").groupBy("host", "path").agg(F.min("key").alias("listed_key"))
