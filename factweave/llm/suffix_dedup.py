@@ -3,13 +3,16 @@
 1. Every window of LENGTH bytes has an anchor, the least-hashed gram inside, so equal windows have equal anchors.
    The windows of an anchor form a context; contexts are counted by anchor and content.  An anchor seen once has
    no repeated window; a context seen twice has only repeated ones.
-2. Anchors with different contexts remain.  One text of each context is fetched, and the texts are indexed in
-   shards, each by its own Burrows-Wheeler transform over symbols of STRIDE bytes (one sequence for each
-   residue, so every byte starts a suffix).
-3. The shards' transforms are merged by interleave refinement: the interleave of suffixes ordered by h symbols
+2. Anchors with different contexts remain: their contexts are a group, one text of each is fetched.  The texts of a
+   group are aligned at the anchor.  A group of more than WIDE texts is split in two by the place of the window: all windows of a
+   half share a longer core, so texts whose cores differ part, and texts that are equal there become one.
+   It goes on until a task can hold each group; at the latest a group of one window has one text.
+3. The texts of groups are indexed in shards, each by its own Burrows-Wheeler transform over symbols of STRIDE bytes
+   (one sequence for each residue, so every byte starts a suffix).
+4. The shards' transforms are merged by interleave refinement: the interleave of suffixes ordered by h symbols
    gives that of h + 1 by one stable pass over the transforms' symbols; no suffix is compared or sorted again.
    Where a block splits gives the common prefix; blocks whole after LENGTH bytes are the repeated intervals.
-4. Repeated windows go back to the rows by (anchor, context), and the rows' bytes are removed.
+5. Runs of repeated windows go back to the rows by (anchor, context), and the rows' bytes are removed.
 """
 
 from __future__ import annotations
@@ -20,27 +23,25 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .bloom import shared_bloom
-from .common import mix, small_batches, spans_hash, stash, text_blocks, text_or_empty
+from .bloom import passes, shared_bloom
+from .common import drop_stash, fresh, give_back, mix, small_batches, spans_hash, stash, text_blocks, text_or_empty
 
 LENGTH, GRAM, STRIDE = 400, 32, 100
 #: Bytes of context texts merged at once in a task, and bytes of a shard.
-MERGE_BYTES, SHARD_BYTES = 1 << 20, 1 << 18
-#: Contexts of one anchor that a task may hold; the windows of anchors with more are counted one by one, by all tasks.
+MERGE_BYTES, SHARD_BYTES = 1 << 19, 1 << 17
+#: Texts of one group that a task may hold; larger groups are split by longer cores until none is left.
 WIDE = 1024
 #: Bytes of a document that one pass looks at (windows across a cut belong to one side, none is lost).
-PART = 2 << 20
-FILTER_BITS = 1 << 23
+PART = 1 << 19
 
 _position = np.uint64((1 << 24) - 1)
 
 
 def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """(document, first window, last window, anchor hash, context hash) of a block; positions are in the block."""
+    """(document, first window, last window, anchor, anchor hash, context hash) of a block; positions are in the block."""
     wide, n = length - gram + 1, len(buf)
-    none = (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
+    none = (np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.uint64),) * 2
     if n < length:
         return none
     start = np.arange(n - gram + 1)
@@ -63,27 +64,29 @@ def anchors(buf: np.ndarray, offs: np.ndarray, length: int = LENGTH, gram: int =
     lo, hi = at[first], at[np.append(first[1:], len(at)) - 1]
     p = pick[first]
     context = mix(spans_hash(buf, lo, hi + length) + (p - lo).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return doc[first], lo, hi, h[p], context
+    return doc[first], lo, hi, p, h[p], context
 
 
 def occurrences(docs: DataFrame, length: int) -> DataFrame:
-    """uid, a, c, lo, hi: anchors and contexts of every row, in bytes of the row's text."""
+    """uid, a, c, lo, hi, d: anchors and contexts of every row, in bytes of the row's text; the anchor stands d after lo."""
 
     def find(batches):
         for b in batches:
             uid, at = b.column(0).to_numpy(zero_copy_only=False), 0
-            for _, buf, offs in text_blocks(b.column(1)):
+            for _, buf, offs in text_blocks(b.column(1), PART):
                 own = uid[at : at + len(offs) - 1]
                 at += len(offs) - 1
                 parts = [(0, buf, offs)] if len(buf) <= PART else [(i, buf[i : i + PART + length - 1], None) for i in range(0, len(buf), PART)]
                 for base, piece, o in parts:
                     o = np.array([0, len(piece)]) if o is None else o
-                    doc, lo, hi, a, c = anchors(piece, o, length)
+                    doc, lo, hi, p, a, c = anchors(piece, o, length)
                     if len(doc):
+                        d = (p - lo).astype(np.int16)
                         lo, hi = lo + base - (o[doc] if base == 0 else 0), hi + base - (o[doc] if base == 0 else 0)
-                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own[doc], a.view(np.int64), c.view(np.int64), lo.astype(np.int32), hi.astype(np.int32))], ["uid", "a", "c", "lo", "hi"])
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (own[doc], a.view(np.int64), c.view(np.int64), lo.astype(np.int32), hi.astype(np.int32), d)], ["uid", "a", "c", "lo", "hi", "d"])
+        give_back()
 
-    return docs.mapInArrow(find, "uid long, a long, c long, lo int, hi int")
+    return docs.mapInArrow(find, "uid long, a long, c long, lo int, hi int, d short")
 
 
 # ------------------------------------------------------------ transforms and their merge
@@ -210,100 +213,157 @@ def _ranges(flags: np.ndarray) -> tuple[list[int], list[int]]:
 
 
 def _merge(length: int, stride: int):
-    """Sorted (a, c, x) rows -> (a, c, lo, hi): window ranges [lo, hi) of each context that are repeated."""
+    """Sorted (g, k, x) rows -> (g, k, m): runs [lo, hi) of the windows of each text that other texts of its group have."""
 
     def flush(rows):
         flags = repeated_windows([r[2] for r in rows], length, stride)
-        a, c, los, his, at = [], [], [], [], 0
+        g, k, m, at = [], [], [], 0
         for r in rows:
             lo, hi = _ranges(flags[at : at + len(r[2]) - length + 1])
             at += len(r[2])
-            a += [r[0]] * len(lo)
-            c += [r[1]] * len(lo)
-            los += lo
-            his += hi
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(los, pa.int32()), pa.array(his, pa.int32())], ["a", "c", "lo", "hi"])
+            if lo:
+                g.append(r[0])
+                k.append(r[1])
+                m.append([{"lo": x, "hi": y} for x, y in zip(lo, hi)])
+        return pa.RecordBatch.from_arrays([pa.array(g, pa.int64()), pa.array(k, pa.int64()), pa.array(m, RUNS_ARROW)], ["g", "k", "m"])
 
     def run(batches):
         rows, size, seen = [], 0, set()
         for b in batches:
-            for a, c, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                if rows and a != rows[-1][0]:
+            for g, k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
+                if rows and g != rows[-1][0]:
                     seen = set()
                     if size > MERGE_BYTES:
                         yield flush(rows)
                         rows, size = [], 0
-                if c in seen:  # fetched from two rows with one uid
+                if k in seen:  # fetched from two rows with one uid
                     continue
-                seen.add(c)
-                rows.append((a, c, x.as_py()))
+                seen.add(k)
+                rows.append((g, k, x.as_py()))
                 size += len(rows[-1][2])
         if rows:
             yield flush(rows)
+        give_back()
 
     return run
 
 
+RUNS = "array<struct<lo: int, hi: int>>"
+RUNS_ARROW = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
+HALF = pa.schema([("g", pa.int64()), ("k", pa.int64()), ("g2", pa.int64()), ("k2", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("w", pa.int32()), ("n", pa.int64()), ("x", pa.binary())])
+
+
+def _merged(texts: DataFrame, length: int, stride: int) -> DataFrame:
+    """(g, k, m) of texts (g, k, x, ...) of groups that a task can hold."""
+    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return texts.select("g", "k", "x").repartition(width, "g").sortWithinPartitions("g", "k").mapInArrow(_merge(length, stride), f"g long, k long, m {RUNS}")
+
+
+def _halves(length: int):
+    """Texts of a group with windows [i, j) -> their parts in the two halves of that range.
+
+    Places are relative to the anchor; ``w`` is a text's first window.  Windows [u, v) all hold the bytes [v - 1, u + length):
+    with them the group's key goes on.
+    """
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 4096):
+                out = []
+                for r in b.slice(at, 4096).to_pylist():
+                    x, w, end = r["x"], r["w"], r["w"] + len(r["x"]) - length + 1
+                    middle = (r["i"] + r["j"]) // 2
+                    for u, v in ((r["i"], middle), (middle, r["j"])):
+                        p, q = max(w, u), min(end, v)
+                        if p < q:
+                            part = x[p - w : q - 1 + length - w]
+                            core = x[v - 1 - w : u + length - w]
+                            out.append((r["g"], r["k"], _key(core, r["g"], u), _key(part, r["g"], u, p), u, v, p, r["n"], part))
+                yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], f.type) for k, f in enumerate(HALF)], schema=HALF)
+
+    return run
+
+
+def _key(x: bytes, *more: int) -> int:
+    h = hashlib.blake2b(x, digest_size=8, key=b",".join(str(m).encode() for m in more))
+    return int.from_bytes(h.digest(), "little", signed=True)
+
+
+def _wide(texts: DataFrame, length: int, stride: int, gram: int) -> DataFrame:
+    """(a, c, m) of the texts (g, k, w, n, x) of groups too large for one task.
+
+    ``links`` tells which parts (g, k) of which window on stand for a context (a, c); equal parts are one, counted by ``n``.
+    """
+    hot = texts.select("g", "k", F.lit(gram - length).cast("int").alias("i"), F.lit(1).alias("j"), "w", "n", "x")
+    links = hot.select(F.col("g").alias("a"), F.col("k").alias("c"), "g", "k", "w", F.col("w").alias("w0"))
+    done = None
+    while not hot.isEmpty():
+        split = stash(hot.mapInArrow(_halves(length), "g long, k long, g2 long, k2 long, i int, j int, w int, n long, x binary"), "halves")
+        parts = split.groupBy("g2", "k2").agg(*(F.first(c).alias(c) for c in ("i", "j", "w", "x")), F.sum("n").alias("n")).withColumnsRenamed({"g2": "g", "k2": "k"})
+        kinds = parts.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).where("total > 1").drop("total")
+        parts = stash(parts.join(kinds.hint("merge"), "g"), "parts")
+        moved = split.select("g", "k", "g2", "k2", F.col("w").alias("w2")).join(parts.select(F.col("g").alias("g2"), F.col("k").alias("k2"), "n"), ["g2", "k2"])
+        links = stash(links.join(moved.hint("merge"), ["g", "k"]).select("a", "c", F.col("g2").alias("g"), F.col("k2").alias("k"), F.col("w2").alias("w"), "w0", "n"), "links")
+        whole = F.array(F.struct(F.lit(0).alias("lo"), (F.length("x") - length + 1).alias("hi")))
+        runs = parts.where("n > 1").select("g", "k", whole.alias("m"))
+        runs = runs.unionByName(_merged(parts.where((F.col("kinds") > 1) & (F.col("kinds") <= WIDE)), length, stride).join(parts.where("n = 1").select("g", "k"), ["g", "k"]))
+        got = links.join(runs.hint("merge"), ["g", "k"])
+        got = got.select("a", "c", F.transform("m", lambda r: F.struct((r["lo"] + F.col("w") - F.col("w0")).alias("lo"), (r["hi"] + F.col("w") - F.col("w0")).alias("hi"))).alias("m"))
+        got = stash(got, "runs")
+        done = got if done is None else done.unionByName(got)
+        # what occurs twice is marked as a whole, but other texts of its group may still share some of it
+        hot, links = parts.where(F.col("kinds") > WIDE).drop("kinds"), links.where("n = 1").drop("n")
+    return None if done is None else done.groupBy("a", "c").agg(F.flatten(F.collect_list("m")).alias("m"))
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, stride: int = STRIDE) -> DataFrame:
     """docs (uid, text) -> uid, spans: array of (lo, hi), byte ranges covered by repeated strings."""
-    spark = docs.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     seen = stash(occurrences(docs, length), "anchors")
-    rep = F.struct("uid", F.col("lo").alias("l"), F.col("hi").alias("h"))
+    rep = F.struct("uid", F.col("lo").alias("l"), F.col("hi").alias("h"), "d")
     contexts = seen.groupBy("a", "c").agg(F.count(F.lit(1)).alias("n"), F.min(rep).alias("rep"))
     contexts = stash(contexts, "contexts")
     totals = contexts.groupBy("a").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).where("total > 1")
     live = stash(contexts.join(totals, "a").select("a", "c", "n", "rep.*", "kinds"), "live")
+    drop_stash(contexts)
 
     # texts of the contexts of anchors that have several
-    several = live.where("kinds > 1").groupBy("uid").agg(F.collect_list(F.struct("a", "c", "l", "h", "kinds")).alias("cuts"))
+    several = live.where("kinds > 1").groupBy("uid").agg(F.collect_list(F.struct("a", "c", "l", "h", "d", "n", "kinds")).alias("cuts"))
     several = stash(several, "cuts")
-    bloom = shared_bloom(several.select("uid"), FILTER_BITS)
-
-    @F.pandas_udf(T.BooleanType())
-    def maybe(uid):
-        import pandas as pd
-
-        return pd.Series(bloom.value.has(uid.to_numpy()))
+    maybe = passes(shared_bloom(several.select("uid")))
 
     def slices(batches):
         for b in batches:
             out = []
             for text, cuts in zip(b.column(0), b.column(1).to_pylist()):
                 raw = text.as_py().encode()
-                out += [(x["a"], x["c"], raw[x["l"] : x["h"] + length], x["kinds"]) for x in cuts]
+                out += [(x["a"], x["c"], -x["d"], x["n"], x["kinds"], raw[x["l"] : x["h"] + length]) for x in cuts]
                 if len(out) > 5000:
                     yield _rows(out)
                     out = []
             yield _rows(out)
+        give_back()
+
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
     def _rows(out):
-        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.binary(), pa.int64()))], ["a", "c", "x", "kinds"])
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t) for k, t in enumerate(kinds)], ["g", "k", "w", "n", "kinds", "x"])
 
-    found = docs.where(maybe("uid")).join(several, "uid").select("text", "cuts").mapInArrow(slices, "a long, c long, x binary, kinds long")
+    found = docs.where(maybe("uid")).join(several, "uid").select("text", "cuts").mapInArrow(slices, "g long, k long, w int, n long, kinds long, x binary")
     texts = stash(found, "texts")
-    merged = texts.where(F.col("kinds") <= WIDE).select("a", "c", "x").repartition(width, "a").sortWithinPartitions("a", "c").mapInArrow(_merge(length, stride), "a long, c long, lo int, hi int")
-
-    # anchors with too many contexts for one task: their windows, each on its own
-    def windows(batches):
-        for b in batches:
-            for a, c, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
-                buf = np.frombuffer(x.as_py(), np.uint8)
-                at = np.arange(len(buf) - length + 1)
-                h = spans_hash(buf, at, at + length)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), a)), pa.array(np.full(len(at), c)), pa.array(at.astype(np.int32)), pa.array(h.view(np.int64))], ["a", "c", "lo", "w"])
-
-    each = texts.where(F.col("kinds") > WIDE).dropDuplicates(["a", "c"]).select("a", "c", "x").mapInArrow(windows, "a long, c long, lo int, w long")
-    twice = each.groupBy("w").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("w")
-    wide = each.join(twice, "w").select("a", "c", "lo", (F.col("lo") + 1).alias("hi"))
-
-    # contexts seen twice are repeated as a whole
-    marks = merged.unionByName(wide).join(live.select("a", "c", "n"), ["a", "c"]).where("n = 1").select("a", "c", "lo", "hi")
-    marks = marks.unionByName(live.where("n > 1").select("a", "c", F.lit(0).alias("lo"), (F.col("h") - F.col("l") + 1).alias("hi")))
+    small, large = texts.where(F.col("kinds") <= WIDE), texts.where(F.col("kinds") > WIDE).dropDuplicates(["g", "k"])
+    marks = _merged(small, length, stride).select(F.col("g").alias("a"), F.col("k").alias("c"), "m")
+    wide = _wide(stash(large, "wide"), length, stride, GRAM)
+    marks = marks if wide is None else marks.unionByName(wide)
+
+    # contexts seen twice are repeated as a whole; every context has one row of marks
+    marks = marks.join(live.where("n = 1").select("a", "c"), ["a", "c"])
+    whole = F.array(F.struct(F.lit(0).alias("lo"), (F.col("h") - F.col("l") + 1).alias("hi")))
+    marks = marks.unionByName(live.where("n > 1").select("a", "c", whole.alias("m")))
     # both sides are plain exchanges, so the adaptive join splits a context that a third of all rows hold
     rows = seen.select("uid", "a", "c", F.col("lo").alias("at"))
-    hits = rows.join(marks.hint("merge"), ["a", "c"]).select("uid", F.struct((F.col("at") + F.col("lo")).alias("lo"), (F.col("at") + F.col("hi") - 1 + length).alias("hi")).alias("m"))
-    return hits.groupBy("uid").agg(F.collect_list("m").alias("spans"))
+    spans = F.transform("m", lambda r: F.struct((F.col("at") + r["lo"]).alias("lo"), (F.col("at") + r["hi"] - 1 + length).alias("hi")))
+    hits = rows.join(marks.hint("merge"), ["a", "c"]).select("uid", spans.alias("m"))
+    return hits.groupBy("uid").agg(F.flatten(F.collect_list("m")).alias("spans"))
 
 
 def _union(spans) -> list[tuple[int, int]]:
@@ -327,48 +387,47 @@ def _cut(raw: bytes, spans) -> tuple[bytes, int]:
 
 def _apply(docs: DataFrame, length: int, stride: int, finish, schema) -> DataFrame:
     """``finish(batch, spans of its rows)`` over all rows; only rows that lose something are joined with their spans."""
+    uid, held = fresh(docs, "uid"), fresh(docs, "spans")
     small_batches(docs.sparkSession)
-    rows = docs.withColumn("__uid", F.xxhash64("doc_id", text_or_empty()))
-    spans = stash(repeats(rows.select(F.col("__uid").alias("uid"), text_or_empty().alias("text")), length, stride), "spans")
-    bloom = shared_bloom(spans.select("uid"), FILTER_BITS)
-
-    @F.pandas_udf(T.BooleanType())
-    def maybe(uid):
-        import pandas as pd
-
-        return pd.Series(bloom.value.has(uid.to_numpy()))
+    rows = docs.withColumn(uid, F.xxhash64("doc_id", text_or_empty()))
+    spans = stash(repeats(rows.select(F.col(uid).alias("uid"), text_or_empty().alias("text")), length, stride), "spans")
+    held_bloom = shared_bloom(spans.select("uid"))
 
     def cut(batches):
         for b in batches:
             yield finish(pa.RecordBatch.from_arrays(b.columns[:-1], b.schema.names[:-1]), b.column(b.num_columns - 1).to_pylist())
+        give_back()
 
     def same(batches):
         for b in batches:
-            yield finish(b, [None] * b.num_rows)
+            b = b.filter(pa.array(~held_bloom.value.has(b.column(b.num_columns - 1).to_numpy(zero_copy_only=False))))
+            yield finish(pa.RecordBatch.from_arrays(b.columns[:-1], b.schema.names[:-1]), [None] * b.num_rows)
+        give_back()
 
-    spans = spans.select(F.col("uid").alias("__uid"), F.col("spans").alias("__spans"))
-    hit = rows.where(maybe("__uid")).join(spans.hint("merge"), "__uid", "left").select(*docs.columns, "__spans").mapInArrow(cut, schema)
-    return hit.unionByName(rows.where(~maybe("__uid")).select(*docs.columns).mapInArrow(same, schema))
+    spans = spans.select(F.col("uid").alias(uid), F.col("spans").alias(held))
+    hit = rows.where(passes(held_bloom)(uid)).join(spans.hint("merge"), uid, "left").select(*docs.columns, held).mapInArrow(cut, schema)
+    return hit.unionByName(rows.select(*docs.columns, uid).mapInArrow(same, schema))
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, stride: int = STRIDE) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row.
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, text (what is kept) of every row.
 
     Null texts are empty; texts shorter than ``length`` bytes lose nothing.  Repeated rows repeat each other's text and
-    lose all of it from ``length`` bytes on.  Other columns are ignored; an empty table gives no rows.
+    lose all of it from ``length`` bytes on.  A character of which a byte is removed is missing in ``text``, its other bytes
+    count in the digest.  Other columns are ignored; an empty table gives no rows.
     """
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def finish(b, spans):
         out = []
         for text, s in zip(b.column(1), spans):
             raw = (text.as_py() or "").encode()
             left, n = _cut(raw, s)
-            out.append((len(raw), len(raw) - len(left), n, hashlib.sha256(left).hexdigest()))
+            out.append((len(raw), len(raw) - len(left), n, hashlib.sha256(left).hexdigest(), left.decode("utf-8", "ignore")))
         return pa.RecordBatch.from_arrays([b.column(0), *(pa.array([r[k] for r in out], t) for k, t in enumerate(kinds))], names)
 
-    return _apply(docs.select("doc_id", "text"), length, stride, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _apply(docs.select("doc_id", "text"), length, stride, finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def clean(docs: DataFrame, length: int = LENGTH, stride: int = STRIDE) -> DataFrame:
