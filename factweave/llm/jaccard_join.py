@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, LOWER, drop_stash, mix, runs, small_batches, spans_hash, stash, text_blocks
+from .common import IS_SPACE, LOWER, drop_stash, fresh, give_back, mix, runs, small_batches, spans_hash, stash, text_blocks
 from .components import components
 from .exact_dedup import SALTS
 from .bloom import shared_bloom
@@ -24,8 +24,6 @@ from .bloom import shared_bloom
 WORDS, PERCENT = 5, 80
 #: A shingle in more groups than this is frequent; as many of them are put last as the broadcast holds.
 FREQUENT, FREQUENT_MOST = 32, 1 << 18
-#: Bits of the filter that spares rows the shuffle before the exact join with wanted ids (it has no say in the result).
-FILTER_BITS = 1 << 23
 
 _odd = np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -69,34 +67,33 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offs), pa.array(flat.view(np.int64)))
 
 
-def _classes(docs: DataFrame, words: int, percent: int, tokens: bool) -> DataFrame:
-    """doc_id, n, digest (and with ``tokens`` the shingles of the counted zone, else h, a hash of the text) of the rows."""
+def _classes(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, h (a hash of the text), n, digest and tokens (the shingles of the counted zone) of the rows.
+
+    Rows without an id, and sets that a task has sent already, go without their shingles.
+    """
     zone = np.uint64(int(2**64 * min(0.9, 2 * (100 - percent) / 100)))
 
     def sign(batches):
         seen: set[bytes] = set()
         for b in batches:
-            ids, at = b.column(0), 0
-            for _, buf, offs in text_blocks(b.column(1)):
+            named, at = b.column(0).is_valid().to_pylist(), 0
+            for _, buf, offs in text_blocks(b.column(2), 1 << 19):
                 sets = shingle_sets(buf, offs, words)
-                own = ids.slice(at, len(sets))
+                own = slice(at, at + len(sets))
                 at += len(sets)
-                digests = [digest_of(s) for s in sets]
-                columns = [own, pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary())]
-                if not tokens:
-                    yield pa.RecordBatch.from_arrays([*columns, b.column(2).slice(at - len(sets), len(sets))], ["doc_id", "n", "digest", "h"])
-                    continue
-                some = []
-                for d, s in zip(digests, sets):  # a set that this task has sent already goes without its shingles
-                    k = 0 if d in seen else max(int(np.searchsorted(s, zone)), prefix_length(len(s), percent) if len(s) else 0)
-                    seen.add(d)
+                digests, some = [digest_of(s) for s in sets], []
+                for d, s, ok in zip(digests, sets, named[own]):
+                    k = 0 if d in seen or not ok else max(int(np.searchsorted(s, zone)), prefix_length(len(s), percent) if len(s) else 0)
                     some.append(s[:k])
-                if len(seen) > 500_000:
+                    if ok:
+                        seen.add(d)
+                if len(seen) > 100_000:
                     seen = set()
-                yield pa.RecordBatch.from_arrays([*columns, _lists(some)], ["doc_id", "n", "digest", "tokens"])
+                yield pa.RecordBatch.from_arrays([b.column(0)[own], b.column(1)[own], pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), _lists(some)], ["doc_id", "h", "n", "digest", "tokens"])
+        give_back()
 
-    schema = "doc_id long, n long, digest binary, " + ("tokens array<long>" if tokens else "h long")
-    return docs.select("doc_id", "text", *([] if tokens else [F.xxhash64("text").alias("h")])).mapInArrow(sign, schema)
+    return docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(sign, "doc_id long, h long, n long, digest binary, tokens array<long>")
 
 
 def _frequent(classes: DataFrame) -> np.ndarray:
@@ -134,6 +131,7 @@ def _indexed(classes: DataFrame, frequent, percent: int) -> DataFrame:
                 share.append(float(f.mean()) if len(f) else 0.0)
                 gid.append(int(mix(np.array([np.bitwise_xor.reduce(mix(np.concatenate([calm, warm]))) + np.uint64(m)], np.uint64))[0].view(np.int64)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(gid, pa.int64()), pa.array(share), _lists(rare), _lists(hots)], ["rep", "n", "gid", "share", "rare", "hot"])
+        give_back()
 
     return classes.select("rep", "n", "tokens").mapInArrow(order, "rep long, n long, gid long, share double, rare array<long>, hot array<long>")
 
@@ -205,13 +203,14 @@ def _meet(percent: int):
                         long = True
                         yield long_rows(last, all_g, open_n[0])
                         open_g, open_n = [], []
-            if held > 1_000_000:
+            if held > 300_000:
                 yield emit(pairs)
                 pairs, held = [], 0
         if open_g and not long:
             pairs.append(of_list(np.concatenate(open_g), np.concatenate(open_n)))
         if pairs:
             yield emit(pairs)
+        give_back()
 
     return run
 
@@ -221,17 +220,18 @@ def _sets(docs: DataFrame, classes: DataFrame, wanted: DataFrame, words: int) ->
     ids = wanted.join(classes.select("rep", "least_id", "digest"), "rep")
 
     ids = stash(ids, "wanted")
-    held = shared_bloom(ids.select(F.xxhash64("least_id").alias("h")), FILTER_BITS)
+    held = shared_bloom(ids.select(F.xxhash64("least_id").alias("h")))
 
     def sets(batches):
         for b in batches:
             b = b.filter(pa.array(held.value.has(b.column(2).to_numpy(zero_copy_only=False))))
             at = 0
-            for _, buf, offs in text_blocks(b.column(1)):
+            for _, buf, offs in text_blocks(b.column(1), 1 << 19):
                 got = shingle_sets(buf, offs, words)
                 own = b.column(0).slice(at, len(got))
                 at += len(got)
                 yield pa.RecordBatch.from_arrays([own, pa.array([digest_of(s) for s in got], pa.binary()), _lists(got)], ["doc_id", "digest", "items"])
+        give_back()
 
     found = docs.where("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("h")).mapInArrow(sets, "doc_id long, digest binary, items array<long>")
     found = found.withColumnRenamed("doc_id", "least_id").join(ids, ["least_id", "digest"]).select("rep", "items")
@@ -291,12 +291,15 @@ def _components_of_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # rows without an id go first: they must not be the ones that carry a class's shingles
-    signed = _classes(docs.where("doc_id is not null"), words, percent, True).where("n > 0")
+    # texts are read once; of all rows the digests stay, the shingles go into the classes
+    signed = stash(_classes(docs, words, percent), "signed")
+    rows = stash(signed.drop("tokens"), "rows")
+    named = signed.where("n > 0 and doc_id is not null")
     # copies: one row a class, of any number of rows (a class's shingles come from whichever row carried them); rep is a
     # number of the class, as one doc_id can be the least of several
-    classes = signed.groupBy("n", "digest").agg(F.min("doc_id").alias("least_id"), F.max("tokens").alias("tokens"))
+    classes = named.groupBy("n", "digest").agg(F.min("doc_id").alias("least_id"), F.max("tokens").alias("tokens"))
     classes = stash(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    drop_stash(signed)
     frequent = spark.sparkContext.broadcast(_frequent(classes))
     able = classes.where(f"{percent} * n <= 100 * (n - 1) or {percent} * (n + 1) <= 100 * n")  # a smaller set is similar to its equals only
     index = stash(_indexed(able, frequent, percent).select("rep", "n", "gid", "share", "rare", "hot"), "index")
@@ -332,8 +335,10 @@ def _components_of_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     stars = members.join(leader.where("k > 1"), "gid").where("rep != leader").select(F.col("leader").alias("a"), F.col("rep").alias("b"))
     chosen = pairs.groupBy("b").agg(F.min("a").alias("a")).unionByName(pairs.groupBy("a").agg(F.min("b").alias("b")).select("b", "a"))
     chosen = lead(lead(chosen.distinct(), "a", "x"), "b", "y").select(F.col("x").alias("a"), F.col("y").alias("b"))
-    hub = lists.groupBy("t").agg(F.max(F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("rep")).alias("r"), "n", "m")).alias("h"))
-    spokes = lists.join(hub, "t").where("rep != -h.r").where(_pair_bound("n", "m", "h.n", "h.m", percent))
+    lists = lists.withColumn("salt", F.pmod(F.xxhash64("rep"), F.lit(SALTS)))
+    best = F.struct((F.col("m") / F.col("n")).alias("share"), (-F.col("rep")).alias("r"), "n", "m")
+    hub = lists.groupBy("t", "salt").agg(F.max(best).alias("h")).groupBy("t").agg(F.max("h").alias("h"), F.collect_list("salt").alias("salts"))
+    spokes = lists.join(hub.withColumn("salt", F.explode("salts")), ["t", "salt"]).where("rep != -h.r").where(_pair_bound("n", "m", "h.n", "h.m", percent))
     spokes = spokes.groupBy("rep").agg(F.max("h").alias("h")).select((-F.col("h.r")).alias("a"), F.col("rep").alias("b"))
     first = stars.unionByName(chosen).unionByName(spokes).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = stash(first, "first")
@@ -350,13 +355,17 @@ def _components_of_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     x = label.join(mixed, "gid")
     inside = x.select("gid", F.col("rep").alias("ra"), F.col("comp").alias("ca")).join(x.select("gid", F.col("rep").alias("rb"), F.col("comp").alias("cb")), "gid").where("ca != cb and ra < rb").select("ra", "rb")
     lists = lists.join(label.select("rep", "comp"), "rep")
-    several = lists.groupBy("t").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("t")
-    mixed_lists = lists.join(several, "t")
-    other = mixed_lists.select("t", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "m", "pos", "comp")))
+    several = lists.groupBy("t", "salt").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("k"))
+    several = several.groupBy("t").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"), F.sum("k").alias("k"), F.collect_list("salt").alias("salts")).where("lo != hi")
+    several = several.select("t", F.ceil(F.col("k") / LONG_LIST).alias("blocks"), F.explode("salts").alias("salt"))
+    # a long list is cut into blocks: each row of one side meets those of the other block by block
+    mixed_lists = lists.join(several, ["t", "salt"]).drop("salt")
+    other = mixed_lists.select("t", *(F.col(c).alias(f"{c}2") for c in ("rep", "n", "m", "pos", "comp")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+    mixed_lists = mixed_lists.withColumn("block", F.pmod(F.xxhash64(F.lit(2), "rep"), F.col("blocks")))
     # a similar pair's first shared element stands early enough in both for the overlap that the two sizes need
     need = f"(cast(ceil({percent} * (n + n2) / (100 + {percent})) as long))"
     early = f"pos <= n - {need} + 1 and pos2 <= n2 - {need} + 1"
-    across = mixed_lists.join(other, "t").where("comp != comp2 and rep < rep2").where(_pair_bound("n", "m", "n2", "m2", percent)).where(early)
+    across = mixed_lists.join(other, ["t", "block"]).where("comp != comp2 and rep < rep2").where(_pair_bound("n", "m", "n2", "m2", percent)).where(early)
     across = across.select("rep", "rep2", "n", "n2").distinct()
     prefix = lists.groupBy("rep").agg(F.collect_set("t").alias("p"))
     across = across.join(prefix, "rep").join(prefix.select(F.col("rep").alias("rep2"), F.col("p").alias("p2")), "rep2")
@@ -368,7 +377,7 @@ def _components_of_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
         found = stash(components(stash(more.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "links")), "found")
 
     # back to the rows, copies dealt by salt
-    rows = _classes(docs, words, percent, False).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     by_salt = rows.where("n > 0 and doc_id is not null").groupBy("n", "digest", "salt").agg(F.count(F.lit(1)).alias("k"))
     whole = by_salt.groupBy("n", "digest").agg(F.collect_list("salt").alias("salts"))
     ids = classes.select("n", "digest", "rep", "least_id")
@@ -382,6 +391,11 @@ def _components_of_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The rows whose doc_id is their component's, with the columns of ``docs``."""
-    kept = _components_of_rows(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h")).distinct()
-    return docs.join(kept, (F.col("doc_id") == F.col("__id")) & (F.xxhash64("text") == F.col("__h")), "left_semi")
+    """The rows whose doc_id is their component's, with the columns of ``docs``.
+
+    Rows of one doc_id are told apart by their texts.  Rows without a doc_id are in no component and not returned: a caller who
+    has such rows numbers them first.
+    """
+    number, text = fresh(docs, "id"), fresh(docs, "hash")
+    kept = _components_of_rows(docs, words, percent).where("doc_id = component_id").select(F.col("doc_id").alias(number), F.col("h").alias(text)).distinct()
+    return docs.join(kept, (F.col("doc_id") == F.col(number)) & (F.xxhash64("text") == F.col(text)), "left_semi")
