@@ -1,9 +1,9 @@
 """Exact top-k by inner product, without random access.
 
-Each component is a list sorted by value.  A shard's lists are read from their best ends, a fixed share of the
-list at a time, for a block of queries at once: what has been read and the lists' frontiers give a lower and an upper bound of every
+Each component is a list sorted by value.  A shard's lists are read one after the other in rounds, each from the end
+that is best for a query: what has been read and the values last read give a lower and an upper bound of every
 candidate's score.  Candidates whose upper bound is under the k-th best lower bound are out; reading stops
-when none but possible winners remain, and those get their final scores.
+when no outsider can qualify, and the winners get their final scores.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from pyspark.sql import Window as W
 
 K, SCALE = 20, 64
 #: Vectors in a shard and queries in a block: what one task holds, whatever the table's size.
-SHARD, BLOCK = 16_384, 512
-#: Shares of each list that are read before bounds are compared.
-DEPTHS = (0.35, 0.65)
+SHARD, BLOCK = 8192, 2048
+#: Rounds in which a list is read to its end; bounds are compared after each.
+ROUNDS = 8
 
 
 def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
@@ -36,50 +36,65 @@ def _kind(a: np.ndarray, b: np.ndarray):
 
 
 class Shard:
-    """Sorted lists of a shard, cut at the depths of reading."""
+    """The sorted lists of a shard: one a component, read from its upper end where a query's weight is positive, else from its lower end."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, rounds: int = ROUNDS):
         order = np.argsort(ids, kind="stable")
         self.ids, self.x = ids[order], x[order]
-        ranked = np.sort(self.x, axis=0)
-        n = len(ranked)
-        self.low, self.high = ranked[0], ranked[-1]
-        # the frontier of each list after reading a share of it from the top, and from the bottom
-        self.fronts = [(ranked[max(0, n - 1 - int(n * s))], ranked[min(n - 1, int(n * s))]) for s in DEPTHS]
-
-    def best(self, qid: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Rows (query, vec, score) of the k best of each query in this shard."""
+        n, d = self.x.shape
+        lists = np.argsort(self.x, axis=0, kind="stable")
+        place = np.empty((n, d), np.int64)  # of each vector in each list
+        np.put_along_axis(place, lists, np.arange(n)[:, None], axis=0)
+        ranked = np.take_along_axis(self.x, lists, axis=0)
+        #: how many entries of each list have been read after each round
+        self.depth = [-(-n * r // rounds) for r in range(1, rounds + 1)]
+        # lists from the upper ends, then the same from the lower ends: the round an entry is read in, the worst value, the frontiers
+        after = np.array(self.depth)
+        self.round = np.hstack([np.searchsorted(after, n - place), np.searchsorted(after, place + 1)]).astype(np.int8)
+        self.value = np.hstack([self.x, self.x])
+        self.worst = np.concatenate([ranked[0], ranked[-1]])
+        self.front = [np.concatenate([ranked[n - t], ranked[t - 1]]) for t in self.depth]
+
+    def best(self, qid: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Rows (query, vec, score) of the k best of each query in this shard, and each query's number of rounds.
+
+        A round reads the next entries of all lists.  What is read counts as it is; for the rest, the lists' worst
+        values give a candidate's lower bound, and the values last read (no unread entry is better) its upper bound.  A query
+        is done when k candidates are left that can be among its best; candidates that no query can use are read no more.
+        """
         kind = _kind(q, self.x)
-        x, up, down = self.x.astype(kind), np.maximum(q, 0).astype(kind), np.minimum(q, 0).astype(kind)
-        own = [(i, slice(*np.searchsorted(self.ids, [v, v + 1]))) for i, v in enumerate(qid)]
-        worst = np.finfo(kind).min if kind != np.int64 else np.iinfo(kind).min
-        base = up @ self.low.astype(kind) + down @ self.high.astype(kind)
-        alive, k_here = None, min(k, len(x))
-        for top, bottom in self.fronts:
-            top, bottom = top.astype(kind), bottom.astype(kind)
-            seen_up, seen_down = x >= top, x <= bottom
-            # what is read above the lists' ends lifts the lower bound; what is unread lies under the frontier
-            lower = up @ np.where(seen_up, x - self.low.astype(kind), 0).T + down @ np.where(seen_down, x - self.high.astype(kind), 0).T + base[:, None]
-            upper = up @ np.maximum(np.minimum(x, self.high.astype(kind)), np.where(seen_up, x, top)).T + down @ np.where(seen_down, x, bottom).T
-            for i, s in own:
-                lower[i, s], upper[i, s] = worst, worst
-            need = np.partition(lower, len(x) - k_here, axis=1)[:, len(x) - k_here]
-            alive = (upper >= need[:, None]) & (upper > worst)
-            if alive.sum() <= 4 * k * len(qid):
+        least = np.finfo(kind).min if kind != np.int64 else np.iinfo(kind).min
+        weight = np.hstack([np.maximum(q, 0), np.minimum(q, 0)]).astype(kind)
+        worst, k = self.worst.astype(kind), min(k, len(self.x))
+        value, read_in = self.value.astype(kind), self.round
+        gain = value - worst  # what reading an entry adds to the lower bound, by its weight
+        todo, cand = np.arange(len(qid)), np.arange(len(self.ids))
+        low = np.repeat((weight @ worst)[:, None], len(cand), axis=1)
+        rounds, out = np.zeros(len(qid), np.int64), []
+        for r, front in enumerate(self.front):
+            now, unread = read_in[cand] == r, read_in[cand] > r
+            low = low + weight[todo] @ np.where(now, gain[cand], 0).astype(kind).T
+            high = low + (weight[todo] * (front.astype(kind) - worst)) @ unread.astype(kind).T
+            own = self.ids[cand][None, :] == qid[todo][:, None]
+            low_now = np.where(own, least, low)
+            have = min(k, len(cand))
+            need = np.partition(low_now, len(cand) - have, axis=1)[:, len(cand) - have]
+            alive = (high >= need[:, None]) & ~own
+            done = (alive.sum(axis=1) <= k) | (r == len(self.front) - 1)
+            rounds[todo] = r + 1
+            row, col = np.nonzero(alive[done])
+            out.append((todo[done][row], cand[col]))
+            stay = alive[~done].any(axis=0)
+            low, todo, cand = low[~done][:, stay], todo[~done], cand[stay]
+            if not len(todo):
                 break
-        rows, vecs = np.nonzero(alive)
-        got_q, got_v, got_s = [], [], []
-        for lo in range(0, len(rows), 1 << 18):
-            r, v = rows[lo : lo + (1 << 18)], vecs[lo : lo + (1 << 18)]
-            got_q.append(r), got_v.append(v), got_s.append(np.einsum("ij,ij->i", q[r], self.x[v]))
-        if not got_q:
-            return (np.zeros(0, np.int64),) * 3
-        r, v, s = np.concatenate(got_q), np.concatenate(got_v), np.concatenate(got_s)
+        r, v = (np.concatenate(x) for x in zip(*out))
+        # the final scores of the k left (after the last round: of all whose bounds, now equal, reach the k-th)
+        s = np.concatenate([np.einsum("ij,ij->i", q[r[i : i + (1 << 18)]], self.x[v[i : i + (1 << 18)]]) for i in range(0, max(len(r), 1), 1 << 18)])
         order = np.lexsort((v, -s, r))
         r, v, s = r[order], v[order], s[order]
         rank = np.arange(len(r)) - np.searchsorted(r, r)
-        r, v, s = r[rank < k], v[rank < k], s[rank < k]
-        return qid[r], self.ids[v], s
+        return qid[r[rank < k]], self.ids[v[rank < k]], s[rank < k], rounds
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD, block: int = BLOCK) -> DataFrame:
@@ -103,7 +118,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD
         if v.num_rows and q.num_rows:
             held = Shard(v["vec_id"].to_numpy(), matrix(v))
             qid, x = q["vec_id"].to_numpy(), matrix(q)
-            parts = [held.best(qid[i : i + 64], x[i : i + 64], k) for i in range(0, len(qid), 64)]
+            parts = [held.best(qid[i : i + 64], x[i : i + 64], k)[:3] for i in range(0, len(qid), 64)]
             out = [np.concatenate(p) for p in zip(*parts)]
         return pa.table({"query_id": out[0], "vec_id": out[1], "score": out[2]})
 
