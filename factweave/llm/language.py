@@ -3,7 +3,7 @@
 One interpolated Kneser-Ney model per language, over the characters of a word between boundary marks.
 The n-grams of all languages stand in arrays sorted by hash, with one column of log-probabilities a language.
 A text gets the language of the lowest cross-entropy per character; the score is calibrated on training
-words, and a caller may reject below a score.
+words.  A caller may reject below a score, and texts whose cross-entropy is over what words kept from the fit show.
 """
 
 from __future__ import annotations
@@ -17,18 +17,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from .common import mix, runs, small_batches, spans_hash, text_blocks
+from .common import give_back, runs, small_batches, spans_hash, text_blocks, text_or_empty
 
 UND = "und"
-#: Documents a language that a model is fitted on, and the languages at most: the documented bounds of the fit.
-DOCS_PER_LANG, MAX_LANGS, MAX_WORDS = 300, 200, 60_000
+#: Documents a language that a model is fitted on; of more than SAMPLE // DOCS_PER_LANG languages each has fewer: the documented bound of the fit.
+DOCS_PER_LANG, SAMPLE = 300, 60_000
 ORDER, DISCOUNT = 5, 0.75
 #: Words whose scores a worker remembers before it starts anew.
 MEMO = 400_000
 
-_byte = np.arange(256)
-#: In lower-cased UTF-8: a-z and all bytes of other letters, marks and signs.
-IS_LETTER = (_byte >= 128) | ((_byte >= 97) & (_byte <= 122))
+#: What parts words, in training and scoring alike.
+NO_LETTERS = r"[^\p{L}\p{M}]+"
+#: The limit of rejection: this share of texts of so many words from the language pass it.
+PASS, TEXT_WORDS = 0.99, 8
 
 
 @dataclass
@@ -42,6 +43,22 @@ class Models:
     floor: np.ndarray
     slope: float = 1.0
     shift: float = 0.0
+    limit: np.ndarray | None = None  # cross-entropy a character by language, over which a text is of none
+
+
+def limits(counts: dict[str, dict[str, int]]) -> np.ndarray:
+    """The calibrated limits: models fitted on four fifths of the words judge texts drawn from the rest."""
+    out = []
+    for lang in sorted(counts):
+        held = [w for w in sorted(counts[lang]) if gram_hash(w) % 5 == 0]
+        rest = {w: c for w, c in counts[lang].items() if gram_hash(w) % 5}
+        if not held or not rest:
+            out.append(np.inf)
+            continue
+        s, n = word_scores(_arrays([lang], [fit_one(rest)]), held)
+        drawn = np.random.default_rng(3).integers(0, len(held), (1000, TEXT_WORDS))
+        out.append(float(np.quantile(-s[:, 0][drawn].sum(axis=1) / n[drawn].sum(axis=1), PASS)))
+    return np.array(out)
 
 
 def gram_hash(g: str) -> int:
@@ -85,10 +102,8 @@ def fit_one(words: dict[str, int], order: int = ORDER, d: float = DISCOUNT) -> t
     return {g: float(np.log(p)) for g, p in prob.items()}, {g: float(np.log(b)) for g, b in back.items()}, float(np.log(floor))
 
 
-def fit(counts: dict[str, dict[str, int]]) -> Models:
-    """Models from word counts by language, and the calibration of the score on the same words."""
-    langs = sorted(counts)
-    parts = [fit_one(counts[x]) for x in langs]
+def _arrays(langs: list[str], parts: list) -> Models:
+    """The models of all languages in arrays sorted by hash."""
     grams = sorted({g for p, b, _ in parts for g in (*p, *b)})
     keys = np.array([gram_hash(g) for g in grams], np.uint64)
     order = np.argsort(keys)
@@ -100,7 +115,14 @@ def fit(counts: dict[str, dict[str, int]]) -> Models:
             logp[at[g], k] = v
         for g, v in b.items():
             backoff[at[g], k] = v
-    m = Models(langs, keys[order], logp[order], backoff[order], np.array([f for *_, f in parts], np.float32))
+    return Models(langs, keys[order], logp[order], backoff[order], np.array([f for *_, f in parts], np.float32))
+
+
+def fit(counts: dict[str, dict[str, int]]) -> Models:
+    """Models from word counts by language, and the calibration of the score on the same words."""
+    langs = sorted(counts)
+    m = _arrays(langs, [fit_one(counts[x]) for x in langs])
+    m.limit = limits(counts)
     if len(langs) > 1:  # the margin at which a word's best language is right half of the time sets the scale
         margins, right = [], []
         for k, x in enumerate(langs):
@@ -164,28 +186,24 @@ def word_scores(m: Models, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def training_counts(docs: DataFrame, per_lang: int = DOCS_PER_LANG) -> dict[str, dict[str, int]]:
     """Word counts of at most ``per_lang`` documents (the smallest hashes of doc_id) of each language."""
+    known = docs.where("lang is not null and text is not null")
+    langs = known.agg(F.count_distinct("lang")).first()[0]
+    per_lang = min(per_lang, max(1, SAMPLE // max(langs, 1)))
     order = W.partitionBy("lang").orderBy(F.xxhash64(F.lit(7), "doc_id"), "doc_id")
-    ids = (
-        docs.where("lang is not null and text is not null")
-        .select("lang", "doc_id")
-        .withColumn("k", F.row_number().over(order))
-        .where(F.col("k") <= per_lang)
-        .select("doc_id")
-        .distinct()
-    )
+    ids = known.select("lang", "doc_id").withColumn("k", F.row_number().over(order)).where(F.col("k") <= per_lang).select("doc_id").distinct()
+    if langs <= SAMPLE:  # so there are SAMPLE ids at most
+        ids = F.broadcast(ids)
     words = (
-        docs.where("lang is not null")
-        .join(F.broadcast(ids), "doc_id", "left_semi")  # at most per_lang ids a language
-        .select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}\p{M}]+")).alias("word"))
+        known.join(ids, "doc_id", "left_semi")
+        .select("lang", F.explode(F.split(F.lower("text"), NO_LETTERS)).alias("word"))
         .where("word != ''")
         .groupBy("lang", "word")
         .count()
     )
-    top = words.withColumn("k", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("count"), "word"))).where(F.col("k") <= MAX_WORDS)
     out: dict[str, dict[str, int]] = defaultdict(dict)
-    for r in top.select("lang", "word", "count").toLocalIterator():
+    for r in words.select("lang", "word", "count").orderBy("lang", "word").collect():  # of a bounded sample
         out[r["lang"]][r["word"]] = r["count"]
-    return dict(sorted(out.items(), key=lambda x: (-sum(x[1].values()), x[0]))[:MAX_LANGS])
+    return dict(out)
 
 
 class Judge:
@@ -215,40 +233,31 @@ class Judge:
             at = np.searchsorted(self.keys, hashes)
         return self.rows[at]
 
-    def block(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        m, langs, scores = self.m, [], []
-        if not m.langs:
-            return [UND] * len(texts), [0.0] * len(texts)
-        low = pa.array([(t or "").lower() for t in texts], pa.large_string())
-        for row, buf, offs in text_blocks(low, 1 << 40):
-            starts, ends, first = runs(IS_LETTER[buf], offs)
-            h = spans_hash(buf, starts, ends)
-            keys, one, back = np.unique(h, return_index=True, return_inverse=True)
-            spell = lambda i: bytes(buf[starts[i] : ends[i]]).decode("utf-8", "replace")
-            got = self.rows_of(keys, one, spell).astype(np.float64)
-            total = np.concatenate([np.zeros((1, got.shape[1])), np.cumsum(got[back], axis=0)])
-            sums = total[first[1:]] - total[first[:-1]]
-            for k in range(len(offs) - 1):
-                n, words = sums[k, -1], first[k + 1] - first[k]
-                if not words or not any(c.isalpha() for c in texts[row + k] or ""):
-                    langs.append(UND)
-                    scores.append(0.0)
-                    continue
-                ce = sums[k, :-1] / n
-                best = int(ce.argmax())
-                rest = np.delete(ce, best)
-                margin = ce[best] - rest.max() if len(rest) else 1.0
-                langs.append(m.langs[best])
-                scores.append(float(1 / (1 + np.exp(-min(50.0, m.slope * margin * np.sqrt(words) + m.shift)))))
-        return langs, scores
-
-
-def identify(docs: DataFrame, train: DataFrame, reject_below: float = 0.0) -> DataFrame:
+    def block(self, buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of each text (words between spaces): index of the best language, score, cross-entropy, and the number of words."""
+        starts, ends, first = runs(buf != 32, offs)
+        words = np.diff(first)
+        h = spans_hash(buf, starts, ends)
+        keys, one, back = np.unique(h, return_index=True, return_inverse=True)
+        spell = lambda i: bytes(buf[starts[i] : ends[i]]).decode("utf-8", "replace")
+        got = self.rows_of(keys, one, spell).astype(np.float64)
+        total = np.concatenate([np.zeros((1, got.shape[1])), np.cumsum(got[back], axis=0)])
+        sums = total[first[1:]] - total[first[:-1]]
+        ce = sums[:, :-1] / np.maximum(sums[:, -1:], 1)
+        best = ce.argmax(axis=1)
+        top = ce.max(axis=1)
+        margin = top - np.partition(ce, -2, axis=1)[:, -2] if ce.shape[1] > 1 else np.ones(len(ce))
+        score = 1 / (1 + np.exp(-np.clip(self.m.slope * margin * np.sqrt(words) + self.m.shift, -50, 50)))
+        return best, score, -top, words
+
+
+def identify(docs: DataFrame, train: DataFrame, reject_below: float = 0.0, reject_foreign: bool = False) -> DataFrame:
     """doc_id, lang_pred and score (0 to 1) of every row of ``docs``; only its text is read.
 
     ``train`` has doc_id, text, lang.  ``und`` with score 0: null text, no letter, or no language learned;
-    ``und`` also where the score is under ``reject_below``.  Equal cross-entropies go to the language that
-    sorts first.  Repeated rows are judged alike; whole texts of any length count.
+    ``und`` also where the score is under ``reject_below``, and with ``reject_foreign`` where the best language's cross-entropy is over
+    its calibrated limit.  Equal cross-entropies go to the language that sorts first.  Repeated rows are judged alike; whole texts of
+    any length count; other columns, whatever their names, are ignored.
     """
     small_batches(docs.sparkSession)
     spark = docs.sparkSession
@@ -256,19 +265,23 @@ def identify(docs: DataFrame, train: DataFrame, reject_below: float = 0.0) -> Da
 
     def judge(batches):
         me = Judge(held.value)
+        langs = np.array([*held.value.langs, UND], dtype=object)
         for b in batches:
-            ids, texts = b.column(0), b.column(1)
-            at, langs, scores, size = 0, [], [], 0
-            todo: list[str | None] = []
-            for t in texts:
-                todo.append(t.as_py())
-                size += len(todo[-1] or "")
-                if size > 1 << 20:
-                    x, y = me.block(todo)
-                    langs, scores, todo, size = langs + x, scores + y, [], 0
-            x, y = me.block(todo) if todo else ([], [])
-            langs, scores = langs + x, scores + y
-            langs = [UND if s < reject_below else x for x, s in zip(langs, scores)]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    return docs.select("doc_id", "text").mapInArrow(judge, "doc_id long, lang_pred string, score double")
+            n = b.num_rows
+            lang, score = np.full(n, len(langs) - 1), np.zeros(n)
+            if len(langs) > 1:
+                letters = b.column(2).to_numpy(zero_copy_only=False)
+                for row, buf, offs in text_blocks(b.column(1)):
+                    k = slice(row, row + len(offs) - 1)
+                    best, s, ce, words = me.block(buf, offs)
+                    known = letters[k] & (words > 0)
+                    lang[k], score[k] = np.where(known, best, len(langs) - 1), np.where(known, s, 0.0)
+                    foreign = ce > held.value.limit[best] if reject_foreign else np.zeros(len(ce), bool)
+                    lang[k] = np.where((s < reject_below) | foreign, len(langs) - 1, lang[k])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs[lang], pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+        give_back()
+
+    # words are cut by the expression that cut the training texts
+    words = F.regexp_replace(F.lower(text_or_empty()), NO_LETTERS, " ")
+    letters = text_or_empty().rlike(r"\p{L}")
+    return docs.select("doc_id", words.alias("words"), letters.alias("letters")).mapInArrow(judge, "doc_id long, lang_pred string, score double")
