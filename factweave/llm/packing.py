@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stash
+from .common import give_back, small_batches, stash
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces in a cell (about), islands a cell, packings an island, generations an epoch, epochs, levels.
@@ -85,6 +85,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
                     at, k = end, k + 1
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import IS_SPACE, runs, small_batches, spans_hash, text_blocks
+from .common import IS_SPACE, give_back, runs, small_batches, spans_hash, text_blocks
 
 #: Labelled documents of each class that the classifier is fitted on (smallest hashes of doc_id): the documented bound.
 PER_CLASS = 1500
@@ -155,8 +155,10 @@ def score_counts(v: Voter, counts: np.ndarray) -> np.ndarray:
     weights = np.where(v.labels == 1, v.prior / max(share, 1e-6), (1 - v.prior) / max(1 - share, 1e-6))
     if share in (0.0, 1.0):
         weights = np.ones(len(v.labels))
-    t = logit(vote(unit(weighted(counts, v.idf) @ v.axes), v.points, weights, v.labels, NEIGHBOURS))
-    return 1 / (1 + np.exp(-np.clip(v.slope * t + v.shift, -40, 40)))
+    points = unit(weighted(counts, v.idf) @ v.axes)
+    t = logit(vote(points, v.points, weights, v.labels, NEIGHBOURS))
+    # a text without features is equally far from all: nothing but the prior speaks
+    return np.where(points.any(axis=1), 1 / (1 + np.exp(-np.clip(v.slope * t + v.shift, -40, 40))), v.prior)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[DataFrame, float]:
@@ -179,6 +181,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Vot
                     at = np.flatnonzero(x)
                     got.append(zlib.compress(at.astype(np.uint16).tobytes() + x[at].tobytes(), 1))
             yield pa.RecordBatch.from_arrays([ids, quality, pa.array(got, pa.binary())], ["doc_id", "quality", "x"])
+        give_back()
 
     some = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")  # 2 * per_class ids at most
     got = some.select("doc_id", "text", "quality").mapInArrow(counts, "doc_id long, quality int, x binary").toPandas()
@@ -194,7 +197,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Vot
 def score(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, score and predicted of every row; only the text is an input of the score.
 
-    Null and empty texts have no features: all labelled points are equally far and the nearest by position vote. Without
+    Null and empty texts have no features and get the share of label 1 among all labelled rows.  Without
     any labelled row every score is 0.5.  Repeated rows get equal scores; texts of any length are read whole;
     other columns, whatever their names, are ignored.
     """
@@ -205,6 +208,7 @@ def score(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD) -> DataFr
         for b in batches:
             p = _scores(held.value, b.column(1))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))], ["doc_id", "score", "predicted"])
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(judge, "doc_id long, score double, predicted int")
 
@@ -218,12 +222,13 @@ def keep(docs: DataFrame, voter: Voter, threshold: float = THRESHOLD) -> DataFra
     def judge(batches):
         for b in batches:
             yield b.filter(pa.array(_scores(held.value, b.column(at)) >= threshold))
+        give_back()
 
     return docs.mapInArrow(judge, docs.schema)
 
 
 def _scores(voter: Voter, texts: pa.Array) -> np.ndarray:
-    parts = [score_counts(voter, features(buf, offs)) for _, buf, offs in text_blocks(texts, 1 << 19)]
+    parts = [score_counts(voter, features(buf, offs)) for _, buf, offs in text_blocks(texts, 1 << 19, 512)]
     return np.concatenate(parts) if parts else np.zeros(0)
 
 
