@@ -71,6 +71,34 @@ def test_index_keeps_what_came_before(spark):
     assert again.table().count() == 3
 
 
+def test_index_keeps_its_number_of_buckets(spark):
+    path = common.scratch(spark, "test-index")
+    index = exact_dedup.DigestIndex(spark, path, 4)
+    rows = [(k, f"text {k}") for k in range(50)]
+    assert exact_dedup.exact_dedup(frame(spark, rows), index).where("kept").count() == 50
+    index.close()  # another session knows no table of that name
+    with pytest.raises(ValueError, match="4 buckets"):
+        exact_dedup.DigestIndex(spark, path, 16)
+    again = exact_dedup.DigestIndex(spark, path)
+    assert exact_dedup.exact_dedup(frame(spark, [(100 + k, t) for k, t in rows]), again).where("kept").count() == 0
+    assert again.table().count() == 50
+
+
+def test_large_groups_of_passages_stay_linear(spark, monkeypatch):
+    """A passage between texts of their own: the parts that split its groups are a few a document, not one a byte."""
+    monkeypatch.setattr(suffix_dedup, "WIDE", 20)
+    rng = random.Random(9)
+    noise = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    shared, made = noise(900), []
+    stash = suffix_dedup.stash
+    monkeypatch.setattr(suffix_dedup, "stash", lambda df, name: made.append((name, stash(df, name))) or made[-1][1])
+    rows = [(k, noise(300) + shared + noise(300)) for k in range(200)]
+    got = suffix_dedup.suffix_dedup(frame(spark, rows)).collect()
+    assert sorted((str(r[0]), r[1], r[2], r[3], r[4]) for r in got) == brute_removed(rows, 400)
+    halves = sum(df.count() for name, df in made if name == "halves")
+    assert 0 < halves <= 60 * len(rows)
+
+
 @pytest.mark.parametrize("words,percent", [(4, 85), (5, 80), (2, 50)])
 def test_jaccard_join(spark, odd, words, percent, monkeypatch):
     monkeypatch.setattr(jaccard_join, "FREQUENT", 3)
@@ -171,6 +199,19 @@ def test_top_k(spark):
     assert {(r["vec_id"], r["score"]) for r in got if r["query_id"] == 40} <= {(v, s) for _, v, s in twice}
 
 
+def test_lists_are_read_until_no_outsider_can_qualify():
+    rng = np.random.default_rng(3)
+    x = rng.integers(-3, 4, (200, 6))
+    x[5] = x[9] = 60  # far ahead of all: the first round shows it
+    q = np.array([[1, 2, 1, 3, 1, 1], [-1, -1, 1, 1, -2, 2]])
+    ids = np.arange(200)
+    got = topk.Shard(ids, x).best(np.array([900, 901]), q, 2)
+    assert got[3][0] == 1 and {(5, int(q[0] @ x[5])), (9, int(q[0] @ x[9]))} == {(int(v), int(s)) for i, v, s in zip(*got[:3]) if i == 900}
+    assert got[3][1] > 1
+    same = topk.Shard(ids, np.ones((200, 6), np.int64)).best(np.array([900]), q[:1], 3)  # bounds never part equals
+    assert same[3].tolist() == [topk.ROUNDS] and same[1].tolist() == [0, 1, 2] and same[2].tolist() == [9, 9, 9]
+
+
 def test_url_filter(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://WWW.Cheap-Pills.example.com/en/1"), (4, "https://a.example.org/es/1"), (5, "https://a.example.org/en/12"), (6, "https://b.org"), (7, "http://x.com/fr/1"), (8, "http://x.com/de/?q"), (9, "http://notexample.org/es/"), (10, "http://y.net/page.html#x"), (11, "http://y.net/other"), (11, "http://y.net/other"), (12, "")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("key", F.lit("k")).withColumn("rule", F.lit("r"))
@@ -313,6 +354,30 @@ def test_quality_on_held_out_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_quality_equals_brute_force(spark):
+    """Votes of whole texts against cosines with every labelled vector, one by one."""
+    d = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    v = queries.quality_voter(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality.score(docs, v).collect()}
+    share = v.labels.mean()
+    for r in docs.limit(50).collect():
+        x = quality.weighted(quality.frame_of([r["text"]]).to_numpy(), v.idf)[0] @ v.axes
+        x = x / max(np.linalg.norm(x), 1e-9)
+        near = sorted(((float(sum(a * b for a, b in zip(x, p))), k) for k, p in enumerate(v.points)), reverse=True)[: quality.NEIGHBOURS]
+        w = [np.exp(quality.SHARP * (c - near[0][0])) * (v.prior / share if v.labels[k] else (1 - v.prior) / (1 - share)) for c, k in near]
+        p = min(max(sum(a * v.labels[k] for a, (_, k) in zip(w, near)) / sum(w), 1e-3), 1 - 1e-3)
+        want = 1 / (1 + np.exp(-(v.slope * np.log(p / (1 - p)) + v.shift)))
+        assert abs(got[r["doc_id"]] - want) < 0.02
+
+
+def test_texts_without_features_get_the_prior(spark):
+    d = "/root/testdata/sf0.01"
+    v = queries.quality_voter(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
+    got = [r["score"] for r in quality.score(frame(spark, [(1, None), (2, "")]), v).collect()]
+    assert np.allclose(got, v.prior)
+
+
 def test_quality_of_odd_rows(spark, odd):
     docs = frame(spark, odd)
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(1, 60)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
@@ -339,6 +404,54 @@ def test_language_of_odd_rows(spark):
     assert all(r["lang_pred"] == "und" for r in language.identify(docs, train, reject_below=1.1).collect())
 
 
+def test_cross_entropies_equal_brute_force():
+    """The arrays' sums against the recursion of the model, character by character."""
+    counts = {"en": Counter("the cat sat on the mat and the dog ran".split()), "fr": Counter("le chat est sur la table et le chien".split())}
+    m = language.fit(counts)
+
+    def log_p(part, ctx, c):
+        prob, back, floor = part
+        if ctx + c in prob:
+            return prob[ctx + c]
+        return floor if not ctx else back.get(ctx, 0.0) + log_p(part, ctx[1:], c)
+
+    words = ["cat", "chien", "zebra", "théâtre", "a"]
+    got, n = language.word_scores(m, words)
+    for k, lang in enumerate(m.langs):
+        part = language.fit_one(counts[lang])
+        for w, s, chars in zip(words, got[:, k], n):
+            t = "^" + w + "$"
+            assert chars == len(w) + 1
+            assert abs(s - sum(log_p(part, t[max(0, i - language.ORDER + 1) : i], t[i]) for i in range(1, len(t)))) < 1e-3
+
+
+def test_language_texts_equal_brute_force(spark, odd):
+    """Predictions of whole texts against word sums in Python."""
+    train = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang is not null")
+    m = language.fit(language.training_counts(train))
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in language.identify(train, train).collect()}
+    import regex
+
+    for r in train.limit(60).collect():
+        words = [w for w in regex.split(r"[^\p{L}\p{M}]+", (r["text"] or "").lower()) if w]
+        if not regex.search(r"\p{L}", r["text"] or ""):
+            assert got[r["doc_id"]] == ("und", 0.0)
+            continue
+        s, n = language.word_scores(m, words)
+        ce = s.sum(axis=0) / n.sum()
+        two = np.sort(ce)[-2:]
+        assert got[r["doc_id"]][0] == m.langs[int(ce.argmax())]
+        assert abs(got[r["doc_id"]][1] - 1 / (1 + np.exp(-min(50, m.slope * (two[1] - two[0]) * np.sqrt(len(words)) + m.shift)))) < 1e-3
+
+
+def test_foreign_texts_are_rejected(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null")
+    gibberish = spark.createDataFrame([(-k, "zxqvkj wqxzh jjqkz vvxqw kzzxj qwvkx " * 3) for k in range(1, 6)], "doc_id long, text string")
+    got = language.identify(docs.select("doc_id", "text").unionByName(gibberish), docs, reject_foreign=True).collect()
+    assert all(r["lang_pred"] == "und" for r in got if r["doc_id"] < 0)
+    assert np.mean([r["lang_pred"] != "und" for r in got if r["doc_id"] >= 0]) > 0.9
+
+
 def test_kneser_ney_sums_to_one():
     prob, back, floor = language.fit_one({"aba": 3, "abc": 1, "ba": 2}, 3)
     seen = {g[-1] for g in prob if len(g) == 1}
