@@ -1,31 +1,45 @@
-"""A corpus run of five stages: each works on what its predecessor kept, written as Parquet and read again."""
+"""A corpus run of five stages: each works on what its predecessor kept, written as Parquet and read again.
+
+Rows without a doc_id go through every stage like others.  Texts that are null count as empty and stay null; extra columns, of any
+name, stay as they are; an empty table goes through as an empty table.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from factweave.llm import exact_dedup, jaccard_join, packing, quality, queries, suffix_dedup
-from factweave.llm.common import stash, table
+from factweave.llm.common import fresh, stash, table
+
+#: Bytes from which a repeated passage goes: over 50 words reach them even where words are short (3 letters and a space).
+PASSAGE, PASSAGE_STRIDE = 200, 50
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go."""
+    """Rejected documents go; only the text decides, so null and empty texts are judged alike."""
     return quality.keep(docs, queries.quality_voter(docs, table(spark, sf_dir, "labels")))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest doc_id stays."""
+    """Of equal texts the one with the smallest doc_id stays; where no row has a doc_id, any one."""
     return exact_dedup.survivors(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by shingles of five words at 0.8 one stays."""
-    return jaccard_join.keep_one(docs)
+    """Of documents linked by shingles of five words at 0.8 one stays: the smallest doc_id, rows without one last.
+
+    Rows without a doc_id take part under a number made from their text, above all others.  Texts without words stay.
+    """
+    key = fresh(docs, "key")
+    number = F.shiftrightunsigned(F.xxhash64("text"), 2).bitwiseOR(F.lit(1 << 62))
+    named = docs.withColumn(key, F.col("doc_id")).withColumn("doc_id", F.coalesce("doc_id", number))
+    return jaccard_join.keep_one(named).withColumn("doc_id", F.col(key)).select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts lose what repeats over 400 bytes: shorter passages of over 50 words (51 to about 62 words) stay."""
-    return suffix_dedup.clean(docs)
+    """Texts lose the passages of PASSAGE bytes or more that occur elsewhere too; documents that lose all stay, empty."""
+    return suffix_dedup.clean(docs, PASSAGE, PASSAGE_STRIDE)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
