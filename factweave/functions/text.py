@@ -147,3 +147,54 @@ def ntriples_escape(c: Column) -> Column:
 def valid_uri(c: Column, most: int = 255) -> Column:
     """Scheme, authority, no blanks, quotes or angle brackets, and a bounded length."""
     return F.coalesce(c.rlike(r"^(?:https?|ftp)://[^\s/?#<>\"{}|\\^`]+[^\s<>\"{}|\\^`]*$") & (F.octet_length(c) <= most), F.lit(False))
+
+
+def label_of_title(c: Column, lang_template: str = "Template", lang_category: str = "Category") -> Column:
+    """A page's label: no template or category prefix, blanks for underscores, brackets and ampersands readable."""
+    out = F.regexp_replace(F.translate(c, "_", " "), f"^(?:{lang_template}|{lang_category}):", "")
+    for code, char in (("%28", "("), ("%29", ")"), ("%26", "&")):
+        out = F.replace(out, F.lit(code), F.lit(char))
+    return out
+
+
+def predicate_name(c: Column, derivates: dict[str, str], percent: bool = True) -> Column:
+    """A predicate under its preferred name, fit for element names: percent signs spelt out, or a closing escape marked by ``_``."""
+    name = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in derivates.items() for x in kv)), c), c) if derivates else c
+    return F.replace(name, F.lit("%"), F.lit("_percent_")) if percent else F.when(name.rlike("%[A-F0-9]{2}$"), F.concat(name, F.lit("_"))).otherwise(name)
+
+
+def isbn(c: Column) -> Column:
+    """The ten or thirteen signs of a book number whose check digit is right, without hyphens; null otherwise."""
+    x = F.upper(F.regexp_replace(F.regexp_extract(c, r"((?:97[89][- ]?)?(?:[0-9][- ]?){9}[0-9Xx])(?![0-9])", 1), "[- ]", ""))
+    digits = F.transform(F.filter(F.split(x, ""), lambda v: v != ""), lambda v: F.when(v == "X", 10).otherwise(v.try_cast("int")))
+    ten = F.aggregate(F.transform(digits, lambda v, i: v * (10 - i)), F.lit(0), lambda a, v: a + v) % 11 == 0
+    thirteen = F.aggregate(F.transform(digits, lambda v, i: v * F.when(i % 2 == 0, 1).otherwise(3)), F.lit(0), lambda a, v: a + v) % 10 == 0
+    return F.when(((F.length(x) == 10) & ten) | ((F.length(x) == 13) & thirteen), x)
+
+
+def list_items(c: Column) -> Column:
+    """The parts of a list of values: between semicolons or blank-node marks (``;bn1;``), of two signs or more."""
+    return F.filter(F.transform(F.split(F.regexp_replace(c, r";bn[0-9]+;", ";"), ";"), lambda x: F.trim(F.translate(x, "\n", ""))), lambda x: F.length(x) > 1)
+
+
+#: Signs of short ids (fixed values).
+ID_SIGNS = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+
+
+def short_id(n: Column, length: int = 15) -> Column:
+    """A number as an id of so many base-62 signs, in the order of the numbers; ``F.monotonically_increasing_id()`` gives unique ones without a shuffle."""
+    digit = lambda v: F.substring(F.lit(ID_SIGNS), (v + 1).cast("int"), F.lit(1))
+    start = F.struct(n.cast("bigint").alias("n"), F.lit("").alias("s"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(length)), start, lambda a, i: F.struct(F.floor((a["n"] - F.pmod(a["n"], F.lit(62))) / F.lit(62)).cast("bigint").alias("n"), F.concat(digit(F.pmod(a["n"], F.lit(62))), a["s"]).alias("s")), lambda a: a["s"])
+
+
+def clean_by(c: Column, patterns: list[tuple[str, str]]) -> Column:
+    """Replacements of regular expressions, one after the other."""
+    for pattern, by in patterns:
+        c = F.regexp_replace(c, pattern, by)
+    return c
+
+
+def english_twin(source: Column) -> Column:
+    """The title of a page's English twin, from its language link; null if it has none."""
+    return F.nullif(F.trim(F.regexp_extract(source, r"\[\[en:(.*?)\]\]", 1)), F.lit(""))

@@ -122,3 +122,57 @@ def degrees_of(d: Column, m: Column, s: Column, hemisphere: Column) -> Column:
     """Degrees, minutes, seconds and a letter as signed degrees."""
     v = d + F.coalesce(m, F.lit(0.0)) / 60 + F.coalesce(s, F.lit(0.0)) / 3600
     return F.when(F.upper(hemisphere).isin("S", "W"), -v).otherwise(v)
+
+
+def parse_number_old(c: Column, lang: Column) -> Column:
+    """A number as the older rules read it: French groups like English, other languages but English and its like swap comma and point."""
+    return parse_float(c, F.when(lang == "fr", "en").otherwise(lang))
+
+
+def value_shape(c: Column) -> Column:
+    """The first shape that a text has: integer, grouped integer, float, large number, picture, rank, percent, link, or text."""
+    shapes = [
+        ("integer", r"^-?[0-9]+$"), ("grouped", r"^-?[0-9]{1,3}(?:,[0-9]{3})+$"), ("float", r"^-?[0-9,]+\.[0-9]+$"), ("large", r"(?i)^[0-9][0-9.,]* (?:thousand|million|billion|trillion|quadrillion)$"),
+        ("picture", r"(?i)^(?:\[\[(?:Image|File):)?[\w\- ]+\.(?:jpe?g|png|gif|svg)(?:\|[0-9]+px\]\])?$"), ("rank", r"^[0-9]+(?:<sup>)?(?:st|nd|rd|th)(?:</sup>)?$"), ("percent", r"^[0-9]{1,3}(?:\.[0-9]+)? ?%$"),
+        ("link", r"^\[\[[^\]]+\]\]$"),
+    ]
+    out = F.lit("text")
+    for name, pattern in reversed(shapes):
+        out = F.when(c.rlike(pattern), name).otherwise(out)
+    return out
+
+
+def template_quantity(c: Column) -> Column:
+    """struct(value, unit) of a unit template: convert, height (feet and inches as centimetres), and those named by their unit."""
+    #: Templates whose name tells the unit (fixed values).
+    named = {"auto in": "inch", "km to mi": "kilometre", "km2 to mi2": "squareKilometre", "pop density km2 to mi2": "inhabitantsPerSquareKilometre", "pop density mi2 to km2": "inhabitantsPerSquareMile"}
+    parts = F.transform(F.split(F.regexp_extract(c, r"\{\{([^{}]*)\}\}", 1), r"\|"), lambda p: F.trim(p))
+    name = F.lower(F.translate(F.get(parts, F.lit(0)), "_", " "))
+    number = lambda p: F.replace(F.regexp_extract(p, r"(-?[0-9][0-9,.]*)", 1), F.lit(","), F.lit("")).try_cast("double")
+    first = F.get(parts, F.lit(1))
+    key, value = F.regexp_extract(first, r"^([A-Za-z]+) *=", 1), number(F.regexp_replace(first, "^[^=]*=", ""))
+    inches = number(F.regexp_extract(F.get(parts, F.lit(2)), r"^in *=(.*)$", 1))
+    tall = F.when((key == "ft") & inches.isNotNull(), F.struct((value * 30.48 + inches * 2.54).alias("value"), F.lit("centimetre").alias("unit"))).otherwise(F.struct(value.alias("value"), key.alias("unit")))
+    unit = F.try_element_at(F.create_map(*(F.lit(x) for kv in named.items() for x in kv)), name)
+    out = F.when(name.isin("convert", "converti"), F.struct(number(first).alias("value"), F.get(parts, F.lit(2)).alias("unit"))).when(name == "height", tall)
+    out = out.when(unit.isNotNull(), F.struct(number(first).alias("value"), unit.alias("unit")))
+    return F.when(out["value"].isNotNull(), out)
+
+
+def first_quantity(c: Column, units: dict[str, str]) -> Column:
+    """struct(value, unit URI) of a text that is one quantity, or a quantity with another in brackets: the first counts."""
+    names = "|".join(sorted((u.replace(".", r"\.") for u in units), key=lambda u: (-len(u), u)))
+    pattern = rf"^([0-9][0-9,]*(?:\.[0-9]+)?) ?({names})\s*(?:\(\s*[0-9][0-9,.]*\s*(?:{names})\s*\)\s*)?$"
+    value = F.replace(F.regexp_extract(c, pattern, 1), F.lit(","), F.lit("")).try_cast("double")
+    unit = F.try_element_at(F.create_map(*(F.lit(x) for kv in units.items() for x in kv)), F.regexp_extract(c, pattern, 2))
+    return F.when(value.isNotNull(), F.struct(value.alias("value"), unit.alias("unit")))
+
+
+def infobox_money(c: Column, names: dict[str, str]) -> Column:
+    """struct(value, unit) of an amount with its currency before or after: ``$1.2 million``, ``1,234 EUR``."""
+    signs = "|".join(sorted((n.replace("$", r"\$") for n in names), key=lambda n: (-len(n), n)))
+    body = r"([0-9][0-9,]*(?:\.[0-9]+)?(?: (?:thousand|million|billion|trillion))?)"
+    before, after = rf"(?i)^({signs}) ?{body}$", rf"(?i)^{body} ?({signs})$"
+    unit = lambda k: F.try_element_at(F.create_map(*(F.lit(x) for kv in names.items() for x in kv)), k)
+    one = lambda p, v, u: F.when(c.rlike(p), F.struct(parse_scaled(F.regexp_extract(c, p, v), F.lit("en")).alias("value"), unit(F.regexp_extract(c, p, u)).alias("unit")))
+    return F.coalesce(one(before, 2, 1), one(after, 1, 2))

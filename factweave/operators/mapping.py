@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from factweave.functions import cascade as C
 from factweave.functions import units as U
 from factweave.functions import values as V
-from factweave.functions.text import wiki_encode
+from factweave.functions.text import truncate_bytes, wiki_encode
 
 XSD = C.XSD
 BREAK = r"(?i)<br\s*/?>"
@@ -28,12 +28,12 @@ def resolve_redirects(redirects: DataFrame, rounds: int = 20) -> DataFrame:
 
     Chains of up to 2**rounds links end; the loop stops when no more sources reach an end.
     """
-    from factweave.operators.graph import _written
+    from factweave.operators.graph import written
 
     now, sources, left = redirects.groupBy("source").agg(F.min("target").alias("target")), redirects.select(F.col("source").alias("target")).distinct(), None
     for _ in range(rounds):
         step = now.select(F.col("source").alias("target"), F.col("target").alias("next"))
-        moved = _written(now.join(step, "target", "left").select("source", F.coalesce("next", "target").alias("target"), F.col("next").isNotNull().alias("open")), "redirects")
+        moved = written(now.join(step, "target", "left").select("source", F.coalesce("next", "target").alias("target"), F.col("next").isNotNull().alias("open")), "redirects")
         now, before, left = moved.select("source", "target"), left, moved.where("open").count()
         if left in (0, before):
             break
@@ -80,7 +80,7 @@ def instances(properties: DataFrame, templates: DataFrame, base: str) -> DataFra
     cells = cells.withColumn("nth", F.dense_rank().over(by_page)).withColumn("page_class", F.first("class").over(by_page)).withColumn("page", F.concat(F.lit(base), wiki_encode(F.col("title"))))
     named = F.min(F.struct((~F.lower("key").contains("name")).alias("rest"), "position", F.col("value").alias("v"))).over(template)["v"]
     cells = cells.withColumn("name", named).withColumn("first", F.col("position") == F.min("position").over(template)).withColumn("cells", F.collect_list(F.struct("key", "value")).over(template))
-    cut = F.regexp_replace(F.trim(F.substring(C.plain_text(F.col("name")), 1, 50)), r"\s*\([^)]*\)$", "")
+    cut = F.regexp_replace(F.trim(truncate_bytes(C.plain_text(F.col("name")), 50)), r"\s*\([^)]*\)$", "")
     cells = cells.withColumn("s0", F.when(F.col("nth") == 1, F.col("page")).otherwise(F.concat("page", F.lit("__"), wiki_encode(cut))))
     cells = cells.withColumn("again", F.dense_rank().over(W.partitionBy("page_id", "s0").orderBy("ordinal")) - 1)
     return cells.withColumn("s", F.when(F.col("again") > 0, F.concat("s0", F.lit("__"), F.col("again").cast("string"))).otherwise(F.col("s0"))).drop("again", "name", "title", "s0")

@@ -86,3 +86,32 @@ def membership_merge(members: DataFrame, target: str, extractor: str, new: DataF
     others = members.where(~((F.col("target") == target) & (F.col("extractor") == extractor))).select("hash").distinct().withColumn("other", F.lit(True))
     change = diff(new, own, ["hash"]).where("status != 'retained'").join(others, "hash", "left")
     return change.select("hash", F.when(F.col("status") == "added", F.when(F.col("other"), "add").otherwise("insert")).otherwise(F.when(F.col("other"), "remove").otherwise("delete")).alias("action"))
+
+
+def valid_triples(triples: DataFrame) -> DataFrame:
+    """Triples whose subject, predicate and URI object are valid; labels of blank nodes keep letters and digits only."""
+    repair = lambda c: F.when(c.startswith("_:"), F.concat(F.lit("_:"), F.regexp_replace(F.substr(c, F.lit(3)), "[^A-Za-z0-9]", ""))).otherwise(c)
+    t = triples.withColumn("s", repair(F.col("s"))).withColumn("o", F.when(F.col("o_kind") == "bnode", repair(F.col("o"))).otherwise(F.col("o")))
+    from factweave.functions.text import valid_uri
+
+    node = lambda c: valid_uri(c) | c.rlike("^_:[A-Za-z0-9]+$")
+    return t.where(node(F.col("s")) & valid_uri(F.col("p")) & ((F.col("o_kind") == "literal") | node(F.col("o"))))
+
+
+def statement_filter(predicates: list[str], objects: list[str], ends: tuple = (), kinds: dict[str, str] | None = None, ignored_predicates=(), ignored_objects=(), avoid_cycles: int = 0):
+    """A condition on the columns of a path: no ignored predicate or object, no literal object (``kinds`` names the columns that tell).
+
+    ``avoid_cycles`` 1: no object is an end; 2: nor another object.
+    """
+    out = F.lit(True)
+    for p in predicates:
+        out = out & ~F.col(p).isin(*ignored_predicates) if ignored_predicates else out
+    for i, o in enumerate(objects):
+        out = out & ~F.col(o).isin(*ignored_objects) if ignored_objects else out
+        if kinds and o in kinds:
+            out = out & (F.col(kinds[o]) != "literal")
+        for end in ends if avoid_cycles > 0 else ():
+            out = out & (F.col(o) != F.lit(end))
+        for other in objects[:i] if avoid_cycles > 1 else ():
+            out = out & (F.col(o) != F.col(other))
+    return out

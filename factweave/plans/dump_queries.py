@@ -55,12 +55,6 @@ def f7(spark, d):
     return pages.where("ns != 0").unionByName(D.in_list(pages.where("ns = 0"), listed, F.col("title"))).select("doc_id", "ns")
 
 
-@query("f8_revision_list", "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_quantity > 49)")
-def f8(spark, d):
-    ids = table(spark, d, "lineitem").where("l_quantity > 49").select(F.col("l_orderkey").alias("o_orderkey"))
-    return D.listed_revisions(table(spark, d, "orders"), ids, "o_orderkey").select("o_orderkey", "o_custkey")
-
-
 @query("f9_time_bounds", "SELECT o_orderkey FROM orders WHERE o_orderdate > TIMESTAMP '1995-01-01' AND o_orderdate < TIMESTAMP '1996-01-01'")
 def f9(spark, d):
     return table(spark, d, "orders").where("o_orderdate > timestamp'1995-01-01' and o_orderdate < timestamp'1996-01-01'").select("o_orderkey")
@@ -109,17 +103,6 @@ def s6e(spark, d):
     return table(spark, d, "documents").groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars"))
 
 
-@query("k10_sql_current_old", "WITH r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) AS k FROM conversations) SELECT CASE WHEN k = 1 THEN 'cur' ELSE 'old' END AS tbl, count(*) AS n FROM r GROUP BY 1")
-def k10(spark, d):
-    k = F.row_number().over(W.partitionBy("conv_id").orderBy(F.desc("turn")))
-    return table(spark, d, "conversations").select(F.when(k == 1, "cur").otherwise("old").alias("tbl")).groupBy("tbl").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("k11_page_rows", "SELECT conv_id AS page_id, count(*) AS n_revisions, max(turn) AS latest, arg_max(octet_length(encode(text)), turn) AS page_len FROM conversations GROUP BY conv_id")
-def k11(spark, d):
-    return table(spark, d, "conversations").groupBy(F.col("conv_id").alias("page_id")).agg(F.count(F.lit(1)).alias("n_revisions"), F.max("turn").alias("latest"), F.max_by(F.octet_length("text"), "turn").cast("long").alias("page_len"))
-
-
 @query("k22_download_table", "PIVOT (SELECT source, lang FROM documents) ON lang IN ('de', 'en', 'es', 'fr') USING count(*) GROUP BY source")
 def k22(spark, d):
     return table(spark, d, "documents").groupBy("source").pivot("lang", ["de", "en", "es", "fr"]).agg(F.count(F.lit(1))).fillna(0)

@@ -42,11 +42,6 @@ def x16(spark, d):
     return nation_facts(spark, d).select(T.nquad(F.col("s"), F.col("p"), F.col("o"), F.col("o_kind"), F.lit(R + "src")).alias("line"))
 
 
-@query("k4_routing", f"WITH {_CUST} SELECT p AS dataset, count(*) AS lines FROM cust GROUP BY p")
-def k4(spark, d):
-    return customer_facts(spark, d).groupBy(F.col("p").alias("dataset")).agg(F.count(F.lit(1)).alias("lines"))
-
-
 @query("x17_hashes", f"WITH {_CUST} SELECT s, p, md5(trim({_LINE})) AS h FROM cust")
 def x17(spark, d):
     return customer_facts(spark, d).select("s", "p", T.triple_hash(T.ntriple(F.col("s"), F.col("p"), F.col("o"), F.col("o_kind"))).alias("h"))

@@ -105,9 +105,9 @@ def f10(spark, d):
     return table(spark, d, "documents").select("doc_id", X.truncate_bytes(F.col("text"), 255).alias("comment"))
 
 
-@query("x4_clean_space", "SELECT doc_id, trim(regexp_replace(left(text, 120), '[ _]+', ' ', 'g'), ' ') AS t FROM documents")
+@query("x4_clean_space", "SELECT doc_id, trim(regexp_replace(text, '[ _]+', ' ', 'g'), ' ') AS t FROM documents")
 def x4(spark, d):
-    return table(spark, d, "documents").select("doc_id", X.clean_space(F.substring("text", 1, 120)).alias("t"))
+    return table(spark, d, "documents").select("doc_id", X.clean_space(F.col("text")).alias("t"))
 
 
 @query("x3_case_first", "SELECT p_partkey, upper(left(p_name, 1)) || p_name[2:] AS u, lower(left(p_brand, 1)) || p_brand[2:] AS l FROM part")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from factweave.functions.text import similarity
 from factweave.plans.registry import query, table
 
 
@@ -27,35 +26,11 @@ def j3(spark, d):
     return j.groupBy("r_name").agg(F.sum("k").alias("n"))
 
 
-@query("j4_superclass", "SELECT DISTINCT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size > 45")
-def j4(spark, d):
-    return table(spark, d, "lineitem").join(table(spark, d, "part").where("p_size > 45"), F.expr("l_partkey = p_partkey")).select("l_orderkey", "p_brand").distinct()
-
-
 @query("j8_parents", "SELECT n_name, r_name FROM nation LEFT JOIN region ON n_regionkey = r_regionkey AND r_name <> 'ASIA' ORDER BY n_name")
 def j8(spark, d):
     return table(spark, d, "nation").join(table(spark, d, "region").where("r_name != 'ASIA'"), F.expr("n_regionkey = r_regionkey"), "left").select("n_name", "r_name").orderBy("n_name")
 
 
-@query("j10_prefix_join", "SELECT page_id FROM pages WHERE regexp_extract(url, '://([^/]*)', 1) || '/' || split_part(url, '/', 4) NOT IN (SELECT regexp_extract(url, '://([^/]*)', 1) || '/' || split_part(url, '/', 4) FROM pages WHERE page_id % 10 = 0)")
-def j10(spark, d):
-    """Sub-resources of ``host/first`` go: the prefix is cut out as an equality key, so no nested loop is needed."""
-    pages = table(spark, d, "pages").withColumn("k", F.concat(F.regexp_extract("url", "://([^/]*)", 1), F.lit("/"), F.split_part("url", F.lit("/"), F.lit(4))))
-    return pages.join(pages.where("page_id % 10 = 0").select("k").distinct(), "k", "left_anti").select("page_id")
-
-
-@query("j12_semi", "SELECT c_custkey FROM customer WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000)")
-def j12(spark, d):
-    return table(spark, d, "customer").join(table(spark, d, "orders").where("o_totalprice > 200000"), F.expr("c_custkey = o_custkey"), "left_semi").select("c_custkey")
-
-
-@query("j14_similar_names", "SELECT a.p_partkey AS a, b.p_partkey AS b FROM part a JOIN part b ON a.p_brand = b.p_brand AND a.p_size = b.p_size AND a.p_partkey < b.p_partkey AND 1 - levenshtein(a.p_type, b.p_type) / greatest(length(a.p_type), length(b.p_type))::DOUBLE > 0.8")
-def j14(spark, d):
-    p = table(spark, d, "part").select("p_brand", "p_size", "p_partkey", "p_type")
-    a, b = p.toDF("br", "sz", "a", "x"), p.toDF("br", "sz", "b", "y")
-    return a.join(b, ["br", "sz"]).where((F.col("a") < F.col("b")) & (similarity(F.col("x"), F.col("y")) > 0.8)).select("a", "b")
-
-
 @query("j16_optional", "SELECT c_custkey, count(o_orderkey) AS n FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_custkey")
 def j16(spark, d):
     n = table(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("k"))
@@ -117,11 +92,6 @@ def a8(spark, d):
     return table(spark, d, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("total"), F.countDistinct("user_id").alias("kept")).withColumn("saved", 1 - F.col("kept") / F.col("total"))
 
 
-@query("a9_totals", "SELECT count(*) AS total, count(*) FILTER (WHERE lang = 'en') AS english, count(*) FILTER (WHERE n_chars < 100) AS short FROM documents")
-def a9(spark, d):
-    return table(spark, d, "documents").agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("lang") == "en").alias("english"), F.count_if(F.col("n_chars") < 100).alias("short"))
-
-
 @query("a11_size_totals", "SELECT source, sum(len(string_split(text, chr(10)))) AS lines, sum(octet_length(encode(text))) AS bytes FROM documents GROUP BY source")
 def a11(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.sum(F.size(F.split("text", "\n"))).alias("lines"), F.sum(F.octet_length("text")).alias("bytes"))
@@ -152,13 +122,3 @@ def o1(spark, d):
 @query("o5_property_sort", "SELECT n_regionkey, list_sort(list(n_name)) AS names FROM nation GROUP BY n_regionkey")
 def o5(spark, d):
     return table(spark, d, "nation").groupBy("n_regionkey").agg(F.sort_array(F.collect_list("n_name")).alias("names"))
-
-
-@query("v6_pattern_inserts", "SELECT p_partkey, 'rdf:type' AS p, 'Brass' AS o FROM part WHERE p_type LIKE '%BRASS'")
-def v6(spark, d):
-    return table(spark, d, "part").where("p_type like '%BRASS'").select("p_partkey", F.lit("rdf:type").alias("p"), F.lit("Brass").alias("o"))
-
-
-@query("u5_contains_all", "SELECT conv_id, bool_and(length(text) > 20) AS complete FROM conversations GROUP BY conv_id")
-def u5(spark, d):
-    return table(spark, d, "conversations").groupBy("conv_id").agg(F.every(F.length("text") > 20).alias("complete"))

@@ -51,6 +51,101 @@ def read_records(spark: SparkSession, path: str, streaming: bool = False) -> Dat
     return files.select(F.str_to_map(head, F.lit("\n"), F.lit("=")).alias("meta"), body.alias("body"))
 
 
+#: Sets of pages by name: namespace, whether redirects are left out, prefix of the titles (fixed values).
+PAGE_SETS = {
+    "all articles": (0, False, ""), "articles": (0, True, ""), "categories": (14, True, "Category:"),
+    "all templates": (10, False, "Template:"), "templates": (10, True, "Template:"),
+}
+
+
+def titles(pages: DataFrame, which: str, langlinks: DataFrame | None = None, lang: str | None = None) -> DataFrame:
+    """(page_id, title) of a set of pages (page_id, ns, title, is_redirect).
+
+    With ``langlinks`` (page_id, lang, title), only pages that have a twin in ``lang``, under that title.
+    """
+    ns, no_redirects, prefix = PAGE_SETS[which]
+    out = pages.where(F.col("ns") == ns)
+    if no_redirects:
+        out = out.where(~F.col("is_redirect"))
+    if langlinks is not None:
+        twin = langlinks.where(F.col("lang") == lang).select("page_id", F.col("title").alias("_twin"))
+        out = out.join(twin, "page_id").withColumn("title", F.col("_twin"))
+    return out.select("page_id", F.concat(F.lit(prefix), "title").alias("title"))
+
+
+def page_source(pages: DataFrame, texts: DataFrame, page_id: int) -> DataFrame:
+    """(page_id, title, text) of one page (page_id, title, latest) by its latest text (text_id, text)."""
+    one = pages.where(F.col("page_id") == page_id)
+    return one.join(texts, one["latest"] == texts["text_id"]).select("page_id", "title", "text")
+
+
+def read_page_elements(spark: SparkSession, path: str) -> DataFrame:
+    """``value``: each ``<page>`` element of a text dump, as it stands; no line is read twice and none is needed whole."""
+    parts = spark.read.option("lineSep", "</page>").text(path)
+    return parts.where("contains(value, '<page>')").select(F.concat(F.regexp_extract("value", r"(?s)(<page>.*)\z", 1), F.lit("</page>")).alias("value"))
+
+
+def xpath_rows(docs: DataFrame, expression: str, column: str = "value") -> DataFrame:
+    """One row for each text that an XPath finds in a column of XML, numbered in document order."""
+    return docs.select("*", F.posexplode(F.xpath(column, F.lit(expression))).alias("n", "found"))
+
+
+def sparql_json(answers: DataFrame, s: str = "s", p: str = "p", o: str = "o", lang: str | None = None, column: str = "value") -> DataFrame:
+    """Triples of SPARQL answers in JSON; with ``lang``, literals of other languages go."""
+    node = "struct<type: string, value: string, `xml:lang`: string, datatype: string>"
+    rows = answers.select(F.explode(F.from_json(column, f"results struct<bindings: array<map<string, {node}>>>")["results"]["bindings"]).alias("b"))
+    o_lang = F.col("b")[o]["xml:lang"]
+    out = rows.select(F.col("b")[s]["value"].alias("s"), F.col("b")[p]["value"].alias("p"), F.col("b")[o]["value"].alias("o"), F.col("b")[o]["type"].alias("o_kind"), F.col("b")[o]["datatype"].alias("datatype"), o_lang.alias("lang"))
+    return out if lang is None else out.where(F.col("lang").isNull() | (F.col("lang") == lang))
+
+
+def sparql_xml(answers: DataFrame, names: list[str], column: str = "value") -> DataFrame:
+    """One row a result of SPARQL answers in XML, a column a variable (unbound ones null)."""
+    one = F.regexp_extract_all(F.col(column), F.lit(r"(?s)<result>(.*?)</result>"), F.lit(1))
+    rows = answers.select(F.explode(one).alias("_r")).select(F.concat(F.lit("<r>"), "_r", F.lit("</r>")).alias("_r"))
+    value = lambda n: F.when(F.xpath_boolean("_r", F.lit(f"/r/binding[@name='{n}']")), F.xpath_string("_r", F.lit(f"/r/binding[@name='{n}']/*")))
+    return rows.select(*(value(n).alias(n) for n in names))
+
+
+def xml_columns(docs: DataFrame, fields: dict[str, str], key: str, column: str = "value") -> DataFrame:
+    """The key and one column for each named XPath; a number with group commas is a number where the whole text is one."""
+    text = {n: F.xpath_string(column, F.lit(x)) for n, x in fields.items()}
+    return docs.select(key, *(F.nullif(F.trim(c), F.lit("")).alias(n) for n, c in text.items()))
+
+
+def number_or_null(name: str):
+    return F.replace(F.col(name), F.lit(","), F.lit("")).try_cast("double")
+
+
+def borders(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """(key, neighbour, km) of lists like ``Austria 784 km, Belgium 167 km``."""
+    each = docs.select(key, F.explode(F.regexp_extract_all(F.col(column), F.lit(r"([^,;]+? [0-9][0-9,.]* km)"), F.lit(1))).alias("_x"))
+    return each.select(key, F.trim(F.regexp_extract("_x", r"^(.*) [0-9][0-9,.]* km$", 1)).alias("neighbour"), F.replace(F.regexp_extract("_x", r"([0-9][0-9,.]*) km$", 1), F.lit(","), F.lit("")).try_cast("double").alias("km"))
+
+
+def read_sheet(spark: SparkSession, path: str, header: bool = True) -> DataFrame:
+    """A CSV sheet: quotes may hold separators, line ends and doubled quotes."""
+    return spark.read.csv(path, header=header, quote='"', escape='"', multiLine=True)
+
+
+def read_settings(text: str) -> dict[str, str]:
+    """``key = value`` lines; sections give prefixes, ``#`` and ``;`` begin remarks, quotes around a value go."""
+    out, section = {}, ""
+    for line in map(str.strip, text.splitlines()):
+        if line.startswith("[") and line.endswith("]"):
+            section = line[1:-1].strip() + "."
+        elif line and line[0] not in "#;" and "=" in line:
+            key, value = (x.strip() for x in line.split("=", 1))
+            out[section + key] = value[1:-1] if len(value) > 1 and value[0] == value[-1] == '"' else value
+    return out
+
+
+def namespaces_of(siteinfo: DataFrame, column: str = "value") -> DataFrame:
+    """(ns, name) of the namespaces that an export's site information lists."""
+    each = siteinfo.select(F.explode(F.regexp_extract_all(F.col(column), F.lit(r"(<namespace [^>]*?(?:/>|>[^<]*</namespace>))"), F.lit(1))).alias("_n"))
+    return each.select(F.regexp_extract("_n", r'key="(-?[0-9]+)"', 1).cast("int").alias("ns"), F.regexp_extract("_n", r">([^<]*)<", 1).alias("name"))
+
+
 def write_ntriples(triples: DataFrame, path: str, by: str | None = None) -> None:
     """One line a triple, in folders by a dataset column if named."""
     from factweave.operators.triples import ntriple

@@ -93,3 +93,83 @@ def owl_elements(classes: DataFrame, properties: DataFrame, base: str, doubles:
     functional = F.when(F.col("functional"), '<rdf:type rdf:resource="http://www.w3.org/2002/07/owl#FunctionalProperty"/>')
     c = own(classes).select(element(F.lit("owl:Class"), label, res("rdfs:subClassOf", uri(F.col("parent"))), res("owl:equivalentClass", uri(F.col("equivalent")))).alias("value"))
     return c.unionByName(own(properties).select(element(kind, functional, label, res("rdfs:domain", uri(F.col("domain"))), res("rdfs:range", range_)).alias("value")))
+
+
+def decoded(triples: DataFrame) -> DataFrame:
+    """Triples with readable URIs: percent escapes decoded where they are sound."""
+    return triples.withColumns({c: F.coalesce(F.try_url_decode(c), F.col(c)) for c in ("s", "p")}).withColumn("o", F.when(F.col("o_kind") == "uri", F.coalesce(F.try_url_decode("o"), F.col("o"))).otherwise(F.col("o")))
+
+
+def routed(triples: DataFrame, routes: dict[str, str], default: str, by: str = "extractor_id") -> DataFrame:
+    """Triples with the dataset that their extractor is sent to; ``write_ntriples(..., by="dataset")`` writes a folder a dataset."""
+    out = F.lit(default)
+    for extractor, dataset in routes.items():
+        out = F.when(F.col(by) == extractor, F.lit(dataset)).otherwise(out)
+    return triples.withColumn("dataset", out)
+
+
+def _newest(revisions: DataFrame) -> DataFrame:
+    return revisions.groupBy("page_id").agg(F.max("ordinal").alias("_last"))
+
+
+def current_and_old_rows(revisions: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of the tables ``cur`` and ``old`` of the first dump layout, with time stamps that sort newest first."""
+    from factweave.functions.values import inverse_timestamp
+
+    r = revisions.join(_newest(revisions), "page_id")
+    stamp = F.date_format("ts", "yyyyMMddHHmmss")
+    row = lambda p, kind: r.where(kind).select(F.col("page_id" if p == "cur" else "rev_id").alias(f"{p}_id"), F.col("ns").alias(f"{p}_namespace"), F.translate("title", " ", "_").alias(f"{p}_title"), F.col("text").alias(f"{p}_text"), stamp.alias(f"{p}_timestamp"), inverse_timestamp(F.col("ts")).alias("inverse_timestamp"))
+    return row("cur", F.col("ordinal") == F.col("_last")), row("old", F.col("ordinal") < F.col("_last"))
+
+
+def page_revision_text_rows(revisions: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows of the tables ``page``, ``revision`` and ``text`` of the later dump layout; a page's length is in UTF-8 bytes."""
+    last = revisions.groupBy("page_id").agg(F.max_by(F.struct("ns", "title", "rev_id", F.octet_length("text").alias("n")), "ordinal").alias("r"))
+    page = last.select("page_id", F.col("r.ns").alias("page_namespace"), F.translate("r.title", " ", "_").alias("page_title"), F.col("r.rev_id").alias("page_latest"), F.col("r.n").alias("page_len"))
+    revision = revisions.select("rev_id", F.col("page_id").alias("rev_page"), F.col("rev_id").alias("rev_text_id"), F.date_format("ts", "yyyyMMddHHmmss").alias("rev_timestamp"))
+    text = revisions.select(F.col("rev_id").alias("old_id"), F.col("text").alias("old_text"), F.lit("utf-8").alias("old_flags"))
+    return page, revision, text
+
+
+def write_lines(lines: DataFrame, path: str, compression: str = "none") -> None:
+    """Lines to files, plain or as gzip or bzip2."""
+    lines.write.option("compression", compression).text(path)
+
+
+def tee(df: DataFrame, sinks) -> None:
+    """The same rows to several sinks, computed once."""
+    held = df.persist()
+    try:
+        for sink in sinks:
+            sink(held)
+    finally:
+        held.unpersist()
+
+
+def mapping_templates(mappings: DataFrame) -> DataFrame:
+    """``value``: the text of a mapping page for each template: mappings (template, class, template_property, property)."""
+    one = F.concat(F.lit("{{PropertyMapping | templateProperty = "), "template_property", F.lit(" | ontologyProperty = "), "property", F.lit(" }}"))
+    rows = mappings.groupBy("template", "class").agg(F.sort_array(F.collect_list(F.struct("template_property", one.alias("x")))).alias("r"))
+    return rows.select(F.concat(F.lit("{{TemplateMapping\n| mapToClass = "), "class", F.lit("\n| mappings =\n"), F.array_join("r.x", "\n"), F.lit("\n}}")).alias("value"))
+
+
+def schema_templates(classes: DataFrame) -> DataFrame:
+    """``value``: the text of an ontology page for each class (name, label, parent)."""
+    sup = F.coalesce(F.concat(F.lit("| rdfs:subClassOf = "), "parent", F.lit("\n")), F.lit(""))
+    return classes.select("name", F.concat(F.lit("{{Class\n| rdfs:label@en = "), "label", F.lit("\n"), sup, F.lit("}}")).alias("value"))
+
+
+def count_sheet(counts: DataFrame, rows: str, columns: str, values: list[str], number: str) -> DataFrame:
+    """A sheet of counts: a row a value of ``rows``, a column for each of the stated values, a total."""
+    wide = counts.groupBy(rows).pivot(columns, values).agg(F.sum(number)).fillna(0)
+    total = F.lit(0)
+    for v in values:
+        total = total + F.col(f"`{v}`")
+    return wide.withColumn("total", total)
+
+
+def record_files(records: DataFrame) -> DataFrame:
+    """``name`` and ``value`` of record files: metadata lines, a line of asterisks, the body; deleted records have no body."""
+    meta = F.concat_ws("\n", F.concat(F.lit("identifier="), "identifier"), F.concat(F.lit("title="), "title"), F.concat(F.lit("ts="), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.concat(F.lit("op="), "op"))
+    body = F.when(F.col("op") == "delete", "").otherwise(F.coalesce("source", F.lit("")))
+    return records.select(F.concat("identifier", F.lit(".txt")).alias("name"), F.concat(meta, F.lit("\n**********\n"), body).alias("value"))

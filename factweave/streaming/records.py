@@ -72,3 +72,52 @@ def apply_changes(state: DataFrame, changes: DataFrame) -> DataFrame:
     gone = changes.where("action = 'delete'").select("page", "extractor", "hash")
     added = changes.where("action = 'add'").select("page", "extractor", "hash")
     return state.select("page", "extractor", "hash").join(gone, ["page", "extractor", "hash"], "left_anti").unionByName(added)
+
+
+def read_record_stream(spark, path: str, files_a_trigger: int = 1000, delete: bool = False, archive: str | None = None) -> DataFrame:
+    """Record files as a stream, oldest first, so many a trigger; files that are done can be deleted or moved."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_a_trigger).option("latestFirst", False).option("wholetext", True)
+    if delete or archive:
+        reader = reader.option("cleanSource", "archive" if archive else "delete")
+    if archive:
+        reader = reader.option("sourceArchiveDir", archive)
+    return reader.text(path)
+
+
+def fan_out(records: DataFrame, handlers: dict, by: str, default=None):
+    """A function for ``foreachBatch``: each category's rows to its handler, others to ``default``; the batch is computed once."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        held = batch.persist()
+        try:
+            for category, handler in handlers.items():
+                handler(held.where(F.col(by) == category), batch_id)
+            if default is not None:
+                default(held.where(~F.col(by).isin(*handlers) | F.col(by).isNull()), batch_id)
+        finally:
+            held.unpersist()
+
+    return records.writeStream.foreachBatch(handle)
+
+
+def chained(*streams: DataFrame) -> DataFrame:
+    """Several sources of one shape as one."""
+    out = streams[0]
+    for s in streams[1:]:
+        out = out.unionByName(s)
+    return out
+
+
+def replace_pages(state: DataFrame, new: DataFrame, page: str = "page") -> DataFrame:
+    """The simple update: all rows of the pages that are new go, theirs are put in; other pages stay as they are."""
+    return state.join(new.select(page).distinct(), page, "left_anti").unionByName(new.select(*state.columns))
+
+
+def edit_statistics(records: DataFrame, width: str = "10 minutes", slide: str = "5 minutes", renew: bool = False) -> DataFrame:
+    """(start, edits, pages) of sliding windows of records (key, ts): all edits, and each page once a window.
+
+    Without ``renew`` a page's edits within ``width`` of its first edit in a tumbling window of that width count as one.
+    """
+    if not renew:
+        records = records.groupBy("key", F.window("ts", width)).agg(F.min("ts").alias("ts")).select("key", "ts")
+    return records.groupBy(F.window("ts", width, slide)).agg(F.count(F.lit(1)).alias("edits"), F.count_distinct("key").alias("pages")).select(F.col("window.start").alias("start"), "edits", "pages")
