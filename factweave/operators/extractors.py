@@ -118,3 +118,104 @@ def semantic_links(pages: DataFrame, base: str) -> DataFrame:
     row = lambda x, o, kind: F.struct(clean_space(x["p"]).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(None).cast("string").alias("datatype"))
     links = F.transform(pairs("::"), lambda x: row(x, F.concat(F.lit(base), wiki_encode(x["o"])), "uri"))
     return _facts(pages, _page(base), F.concat(links, F.transform(pairs(":="), lambda x: row(x, F.trim(x["o"]), "literal"))))
+
+
+def _fact(s: Column, p: str, o: Column, kind: str = "uri", datatype: str | None = None) -> Column:
+    return F.struct(s.alias("s"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit(datatype).cast("string").alias("datatype"))
+
+
+def _facts(rows: DataFrame, *facts: Column) -> DataFrame:
+    """page_id and the facts whose object is there."""
+    each = rows.select("page_id", F.explode(F.array(*facts)).alias("f"))
+    return each.select("page_id", "f.*").where("o is not null")
+
+
+def twins(langlinks: DataFrame, pages: DataFrame, base: str, domains: dict[str, str]) -> DataFrame:
+    """Facts ``sameAs`` for the twins (page_id, lang, title) of pages, in the languages whose resource bases are stated."""
+    other = F.try_element_at(F.create_map(*(F.lit(x) for kv in domains.items() for x in kv)), F.col("lang"))
+    rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s")).join(langlinks.select("page_id", "lang", F.col("title").alias("twin")), "page_id")
+    return _facts(rows, _fact(F.col("s"), "sameAs", F.concat(other, wiki_encode(F.col("twin")))))
+
+
+def image_facts(pages: DataFrame, nonfree: DataFrame, base: str, files: str, wiki: str) -> DataFrame:
+    """Five facts of a page's first image: depiction, its thumbnail (also of the page), and rights of both; images in ``nonfree`` (file) give none."""
+    from factweave.functions.markup import first_image
+    from factweave.functions.text import image_url
+
+    rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s"), first_image(F.col("source")).alias("i")).where("i is not null")
+    rows = rows.select("page_id", "s", F.col("i.file").alias("file"), F.col("i.width").alias("width")).join(nonfree.select("file").distinct(), "file", "left_anti")
+    full = image_url(F.col("file"), files)
+    small = F.concat(image_url(F.col("file"), files + "/thumb"), F.lit("/"), F.col("width").cast("string"), F.lit("px-"), F.col("file"), F.when(F.lower("file").endswith(".svg"), ".png").otherwise(""))
+    rights = F.concat(F.lit(wiki + "/wiki/Image:"), F.url_encode("file"))
+    return _facts(rows, _fact(F.col("s"), "depiction", full), _fact(full, "thumbnail", small), _fact(F.col("s"), "pageThumbnail", small), _fact(small, "rights", rights), _fact(full, "rights", rights))
+
+
+def place_facts(pages: DataFrame, base: str, title_only: bool = False) -> DataFrame:
+    """Facts of a page's first place template: lat, long, point, feature class, population."""
+    from factweave.functions.markup import place
+
+    rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s"), place(F.col("source"), title_only).alias("c")).where("c is not null")
+    s, double = F.col("s"), "double"
+    point = F.concat_ws(" ", F.col("c.lat").cast("string"), F.col("c.lon").cast("string"))
+    return _facts(rows, _fact(s, "lat", F.col("c.lat"), "literal", double), _fact(s, "long", F.col("c.lon"), "literal", double), _fact(s, "point", point, "literal"), _fact(s, "featureClass", F.regexp_extract("c.type", "^([a-z]+)", 1), "literal"), _fact(s, "population", F.col("c.population"), "literal", "integer"))
+
+
+def abstract_facts(pages: DataFrame, base: str) -> DataFrame:
+    """Facts of a page's beginning: comment (two sentences) and abstract (up to the first heading); empty ones are none."""
+    from factweave.functions.markup import page_abstracts
+
+    comment, abstract = page_abstracts(F.col("source"))
+    rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s"), F.nullif(comment, F.lit("")).alias("c"), F.nullif(abstract, F.lit("")).alias("a"))
+    return _facts(rows, _fact(F.col("s"), "comment", F.col("c"), "literal"), _fact(F.col("s"), "abstract", F.col("a"), "literal"))
+
+
+def template_redirects(pages: DataFrame, known: DataFrame, keywords: tuple[str, ...] = ("#REDIRECT",)) -> DataFrame:
+    """(template_id, name): names of redirect pages (title, ns, source) in the template namespace, under the template (template_id, name) they lead to.
+
+    Sources without a keyword are left out by a pattern before anything is parsed; names that are known already give nothing.
+    """
+    pattern = "(?i)^\\s*(?:" + "|".join(k.replace("#", "\\#") for k in keywords) + ")"
+    plain = lambda c: F.lower(F.translate(clean_space(F.regexp_replace(c, "(?i)^template:", "")), " ", "_"))
+    found = pages.where((F.col("ns") == 10) & F.col("source").rlike(pattern)).select(plain(F.col("title")).alias("name"), plain(F.split_part(F.regexp_extract("source", r"\[\[([^\]]*)\]\]", 1), F.lit("|"), F.lit(1))).alias("target"))
+    goal = known.select("template_id", plain(F.col("name")).alias("target"))
+    return found.join(goal, "target").select("template_id", "name").join(known.select(plain(F.col("name")).alias("name")), "name", "left_anti").distinct()
+
+
+def property_statistics(properties: DataFrame) -> DataFrame:
+    """(template, key, uses, pages, filled) of infobox properties (page_id, template, key, value)."""
+    filled = F.count_if(F.trim(F.coalesce("value", F.lit(""))) != "")
+    by_page = properties.groupBy("template", "key", "page_id").agg(F.count(F.lit(1)).alias("n"), filled.alias("f"))
+    return by_page.groupBy("template", "key").agg(F.sum("n").alias("uses"), F.count(F.lit(1)).alias("pages"), F.sum("f").alias("filled"))
+
+
+def parsed_boolean(c: Column) -> Column:
+    """yes and true, no and false; else null."""
+    low = F.lower(F.trim(c))
+    return F.when(low.rlike(r"\b(?:yes|true)\b"), F.lit(True)).when(low.rlike(r"\b(?:no|false)\b"), F.lit(False))
+
+
+def parsed_enumeration(c: Column, values: dict[str, str]) -> Column:
+    """The value whose keyword occurs first in the text; of keywords at one place the longest."""
+    at = F.array_compact(F.array(*(F.when(F.position(F.lit(k.lower()), F.lower(c)) > 0, F.struct(F.position(F.lit(k.lower()), F.lower(c)).alias("at"), F.lit(-len(k)).alias("n"), F.lit(v).alias("v"))) for k, v in values.items())))
+    return F.array_min(at)["v"]
+
+
+def ontology_axioms(definitions: DataFrame, base: str) -> DataFrame:
+    """source_page, s, p, o, axiom of class and property pages (source_page, name, kind, label, parent, domain, range): the schema with the
+    page that each statement comes from, so that a page's statements can be replaced as one."""
+    uri = lambda c: F.concat(F.lit(base), c)
+    kind = F.when(F.col("kind") == "class", "owl:Class").when(F.col("kind") == "object", "owl:ObjectProperty").otherwise("owl:DatatypeProperty")
+    sup = F.when(F.col("kind") == "class", "rdfs:subClassOf").otherwise("rdfs:subPropertyOf")
+    one = lambda p, o: F.struct(p.alias("p"), o.alias("o"))
+    facts = F.array(one(F.lit("rdf:type"), kind), one(F.lit("rdfs:label"), F.col("label")), one(sup, uri(F.col("parent"))), one(F.lit("rdfs:domain"), uri(F.col("domain"))), one(F.lit("rdfs:range"), uri(F.col("range"))))
+    t = definitions.select("source_page", uri(F.col("name")).alias("s"), F.explode(facts).alias("f")).select("source_page", "s", "f.*").where("o is not null")
+    return t.withColumn("axiom", F.md5(F.concat_ws(" ", "s", "p", "o").cast("binary")))
+
+
+def renamed_definitions(definitions: DataFrame, renames: DataFrame) -> DataFrame:
+    """Definitions with names, parents, domains and ranges under their new names (old, new)."""
+    out = definitions
+    for c in ("name", "parent", "domain", "range"):
+        r = renames.select(F.col("old").alias(c), F.col("new").alias("_new"))
+        out = out.join(r, c, "left").withColumn(c, F.coalesce("_new", F.col(c))).drop("_new")
+    return out.select(*definitions.columns)

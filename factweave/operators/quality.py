@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +31,27 @@ def similar_objects(a: Column, b: Column, least: float = 0.8) -> Column:
 
 
 def object_similar(gold: DataFrame, actual: DataFrame, least: float = 0.8) -> DataFrame:
-    """gold with ``present``: an actual object of the same subject (or its sub-nodes) and predicate is similar."""
-    keyed = actual.select(F.split_part("s", F.lit("__"), F.lit(1)).alias("s"), "p", F.col("o").alias("o2"))
-    hits = gold.join(keyed, ["s", "p"]).where(similar_objects(F.col("o2"), F.col("o"), least)).select("s", "p", "o").distinct().withColumn("present", F.lit(True))
+    """gold with ``present``: an actual object of the same subject (or its sub-nodes) and predicate is similar.
+
+    Equal objects are found by their hash.  What is left meets only objects that can be similar: numbers of a size within a
+    thousandth (blocks of their logarithm), texts of a length within ``least`` (blocks of its logarithm), so a predicate of many objects is many keys.
+    """
+    g = gold.select("s", "p", "o").distinct()
+    a = actual.select(F.split_part("s", F.lit("__"), F.lit(1)).alias("s"), "p", F.col("o").alias("o2")).distinct()
+    equal = g.join(a, F.expr("o = o2") & (g["s"] == a["s"]) & (g["p"] == a["p"]), "left_semi")
+    rest = g.join(equal, ["s", "p", "o"], "left_anti").withColumn("x", F.col("o").try_cast("double"))
+    a = a.withColumn("y", F.col("o2").try_cast("double"))
+    size = lambda c: F.concat_ws("/", F.signum(c).cast("int").cast("string"), F.coalesce(F.floor(F.ln(F.abs(c)) / 0.002), F.lit(0)).cast("string"))
+    near = F.explode(F.array(*(F.lit(k) for k in (-1, 0, 1)))).alias("k")
+    block = F.coalesce(F.floor(F.ln(F.abs("x")) / 0.002), F.lit(0))
+    numbers = rest.where("x is not null").select("s", "p", "o", "x", near).withColumn("b", F.concat_ws("/", F.signum("x").cast("int").cast("string"), (block + F.col("k")).cast("string")))
+    numbers = numbers.join(a.where("y is not null").withColumn("b", size(F.col("y"))), ["s", "p", "b"]).where(within_permille(F.col("y"), F.col("x")))
+    width = -math.log(least)
+    length = lambda c: F.floor(F.ln(F.length(c) + F.lit(1.0)) / width)
+    texts = rest.select("s", "p", "o", "x", near).withColumn("b", length("o") + F.col("k"))
+    close = F.abs(F.length("o") - F.length("o2")) <= (1 - least) * F.greatest(F.length("o"), F.length("o2"))
+    texts = texts.join(a.withColumn("b", length("o2")), ["s", "p", "b"]).where((F.col("x").isNull() | F.col("y").isNull()) & close & (similarity(F.col("o2"), F.col("o")) > least))
+    hits = equal.unionByName(numbers.select("s", "p", "o")).unionByName(texts.select("s", "p", "o")).distinct().withColumn("present", F.lit(True))
     return gold.join(hits, ["s", "p", "o"], "left").withColumn("present", F.coalesce("present", F.lit(False)))
 
 

@@ -155,12 +155,14 @@ def x24(spark, d):
     return table(spark, d, "events").select("event_type", X.label_of_camel(F.concat(F.lit("has"), X.upper_first(F.col("event_type")))).alias("label")).distinct()
 
 
-@query("x20_short_abstract")
+@query("x20_short_abstract", """WITH s AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?]) +', '\\1' || chr(1), 'g'), chr(1))[1:501] AS s FROM documents)
+    SELECT doc_id, array_to_string(s[1:len(list_filter(range(1, len(s) + 1), lambda k: list_sum(list_transform(s[1:k], lambda x: octet_length(encode(x)))) + greatest(k - 1, 1) <= 500))], ' ') AS abstract FROM s""")
 def x20(spark, d):
     return table(spark, d, "documents").select("doc_id", X.short_abstract(F.col("text")).alias("abstract"))
 
 
-@query("x1_x2_title_round_trip")
+@query("x1_x2_title_round_trip", """WITH t AS (SELECT p_partkey, trim(regexp_replace(p_name || ' / ' || p_type || '_é', '[ _]+', ' ', 'g')) AS t FROM part), u AS (SELECT p_partkey, upper(t[1]) || t[2:] AS t FROM t)
+    SELECT p_partkey, replace(replace(url_encode(replace(t, ' ', '_')), '%2F', '/'), '%3A', ':') AS encoded, t AS decoded FROM u""")
 def x1(spark, d):
     name = F.concat(F.lit("  "), "p_name", F.lit(" / "), "p_type", F.lit("_é"))
     return table(spark, d, "part").select("p_partkey", X.wiki_encode(name).alias("encoded"), X.wiki_decode(X.wiki_encode(name)).alias("decoded"))

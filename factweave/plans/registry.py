@@ -23,7 +23,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _load() -> None:
-    from factweave.plans import dump_queries, extractor_queries, fact_queries, date_queries, graph_queries, join_queries, mapping_queries, more_value_queries, page_queries, relational_queries, store_queries, stream_queries, value_queries  # noqa: F401
+    from factweave.plans import dump_queries, extractor_queries, fact_queries, date_queries, graph_queries, join_queries, mapping_queries, more_extractor_queries, more_value_queries, page_queries, relational_queries, store_queries, stream_queries, value_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -137,3 +137,10 @@ def k19(spark, d):
 def k21(spark, d):
     r = table(spark, d, "events").select(F.col("event_id").cast("string").alias("identifier"), F.col("event_type").alias("title"), "ts", F.when(F.col("event_id") % 5 == 0, "delete").otherwise("update").alias("op"), F.col("props").alias("source"))
     return K.record_files(r)
+
+
+@query("k9_page_lines", """SELECT o_custkey AS page_id, o_orderkey AS ordinal, CASE WHEN o_orderkey = min(o_orderkey) OVER w THEN '<page><title>page ' || o_custkey || '</title><id>' || o_custkey || '</id>' ELSE '' END
+    || '<revision><id>' || o_orderkey || '</id><timestamp>' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') || '</timestamp><text>' || o_orderpriority || ' é</text></revision>' || CASE WHEN o_orderkey = max(o_orderkey) OVER w THEN '</page>' ELSE '' END AS value
+    FROM orders WINDOW w AS (PARTITION BY o_custkey)""")
+def k9_lines(spark, d):
+    return K.page_export_lines(_revisions(spark, d))

@@ -70,6 +70,21 @@ def page_export(revisions: DataFrame) -> DataFrame:
     return rows.select(tag("page", F.concat(tag("title", xml_text(F.col("title"))), tag("id", F.col("page_id").cast("string")), F.array_join("r.x", ""))).alias("value"))
 
 
+def page_export_lines(revisions: DataFrame) -> DataFrame:
+    """page_id, ordinal, ``value``: one line a revision, the first with its page's opening, the last with its closing.
+
+    Rows are dealt and sorted by page, so written as text they are whole elements; no page's history is held at once.
+    """
+    from pyspark.sql import Window as W
+
+    tag = lambda name, c: F.concat(F.lit(f"<{name}>"), c, F.lit(f"</{name}>"))
+    of_page = W.partitionBy("page_id").orderBy("ordinal")
+    one = tag("revision", F.concat(tag("id", F.col("rev_id").cast("string")), tag("timestamp", F.coalesce(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit(""))), tag("text", xml_text(F.col("text")))))
+    opening = F.when(F.lag("ordinal").over(of_page).isNull(), F.concat(F.lit("<page>"), tag("title", xml_text(F.col("title"))), tag("id", F.col("page_id").cast("string")))).otherwise("")
+    closing = F.when(F.lead("ordinal").over(of_page).isNull(), "</page>").otherwise("")
+    return revisions.select("page_id", "ordinal", F.concat(opening, one, closing).alias("value"))
+
+
 def class_tree(classes: DataFrame) -> DataFrame:
     """``value``: an edge of a Graphviz digraph from each class (id, parent_id, label) to its parent."""
     up = classes.select(F.col("id").alias("parent_id"), F.col("label").alias("parent"))

@@ -81,7 +81,7 @@ def read_record_stream(spark, path: str, files_a_trigger: int = 1000, delete: bo
         reader = reader.option("cleanSource", "archive" if archive else "delete")
     if archive:
         reader = reader.option("sourceArchiveDir", archive)
-    return reader.text(path)
+    return reader.text(path, wholetext=True)
 
 
 def fan_out(records: DataFrame, handlers: dict, by: str, default=None):
