@@ -107,8 +107,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, shard: int = SHARD
     shards = max(1, -(-vectors.count() // shard))
     blocks = max(1, -(-queries.count() // block))
     # A grid of shards and blocks of bounded size: each meets each other once, both dealt by an equal key.
-    cells_v = vectors.withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    cells_q = queries.withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks))).withColumn("s", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    def every(n: int):  # of one type with what pmod gives, as both sides are dealt by their hashes
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+
+    cells_v = vectors.withColumn("s", F.pmod(F.xxhash64("vec_id"), F.lit(shards).cast("long"))).withColumn("b", every(blocks))
+    cells_q = queries.withColumn("b", F.pmod(F.xxhash64(F.lit(1), "vec_id"), F.lit(blocks).cast("long"))).withColumn("s", every(shards))
 
     def matrix(t: pa.Table) -> np.ndarray:
         return t["q"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, -1)

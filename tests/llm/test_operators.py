@@ -199,6 +199,22 @@ def test_top_k(spark):
     assert {(r["vec_id"], r["score"]) for r in got if r["query_id"] == 40} <= {(v, s) for _, v, s in twice}
 
 
+def test_top_k_meets_in_every_partition(spark):
+    """Cells of both sides must come to the same task, also where partitions aren't joined into one."""
+    held = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rng = np.random.default_rng(4)
+        rows = [(i, [float(v) for v in rng.normal(0, 0.3, 4)]) for i in range(400)]
+        q = topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        got = topk.top_k(q, q.where("vec_id % 20 = 0"), 5, 50, 7).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", held)
+    x = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows}
+    want = {i: sorted((-int(x[i] @ v), j) for j, v in x.items() if j != i)[:5] for i in range(0, 400, 20)}
+    assert sorted((r["query_id"], -r["score"], r["vec_id"]) for r in got) == sorted((i, s, j) for i, w in want.items() for s, j in w)
+
+
 def test_lists_are_read_until_no_outsider_can_qualify():
     rng = np.random.default_rng(3)
     x = rng.integers(-3, 4, (200, 6))
