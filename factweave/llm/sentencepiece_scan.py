@@ -18,13 +18,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, stash
+from .common import give_back, small_batches, stash
 
 #: Characters in a chunk; documents up to this size are one chunk.
 CHUNK = 16_384
 #: Characters beyond a cut in which two segmentations are expected to meet; doubled until they do.
 WINDOW = 256
 
+#: Matrices of neighbouring chunks that are combined at once.
+FAN = 64
+
 _codecs: dict[str, "Codec"] = {}
 
 
@@ -147,8 +150,11 @@ def combine(a: dict, b: dict) -> dict:
     return out
 
 
-def boundary_states(matrices: list[dict]) -> list[tuple[int, int]]:
-    """The state at each cut (one more than there are chunks): products over halves, then read back from the middle outwards."""
+def boundary_states(matrices: list[dict], ends: tuple | None = None) -> list[tuple[int, int]]:
+    """The state at each cut (one more than there are chunks): products over halves, then read back from the middle outwards.
+
+    ``ends`` gives the first and the last state where they are known.
+    """
     tree: dict[tuple[int, int], dict] = {}
 
     def build(i: int, j: int) -> dict:
@@ -158,7 +164,7 @@ def boundary_states(matrices: list[dict]) -> list[tuple[int, int]]:
 
     states: list = [None] * (len(matrices) + 1)
     whole = build(0, len(matrices))
-    states[0], states[-1] = max(((x, y) for x, row in whole.items() for y in row), key=lambda p: whole[p[0]][p[1]])
+    states[0], states[-1] = ends or max(((x, y) for x, row in whole.items() for y in row), key=lambda p: whole[p[0]][p[1]])
     stack = [(0, len(matrices))]
     while stack:
         i, j = stack.pop()
@@ -170,6 +176,52 @@ def boundary_states(matrices: list[dict]) -> list[tuple[int, int]]:
     return states
 
 
+def _held(t: pa.Table) -> tuple[list[int], list[dict]]:
+    """The numbers and matrices of a group's chunks, in order."""
+    held: dict[int, dict] = {}
+    for x in t.select(["chunk", "a", "b", "w"]).to_pylist():
+        held.setdefault(x["chunk"], {}).setdefault(tuple(x["a"]), {})[tuple(x["b"])] = x["w"]
+    return sorted(held), [held[k] for k in sorted(held)]
+
+
+def _fold(t: pa.Table) -> pa.Table:
+    """The product of a group's matrices, as one of the next level."""
+    _, matrices = _held(t)
+    while len(matrices) > 1:
+        matrices = [combine(*matrices[k : k + 2]) if k + 1 < len(matrices) else matrices[k] for k in range(0, len(matrices), 2)]
+    row, chunk = t["row"][0].as_py(), t["up"][0].as_py()
+    return pa.Table.from_pylist([{"row": row, "chunk": chunk, "a": list(p), "b": list(q), "w": w} for p, r in matrices[0].items() for q, w in r.items()], schema=ENTRY)
+
+
+def _unfold(t: pa.Table) -> pa.Table:
+    """The states around each of a group's matrices, between the two that the level above has found for the group."""
+    chunks, matrices = _held(t)
+    got = boundary_states(matrices, (tuple(t["enter"][0].as_py()), tuple(t["leave"][0].as_py())))
+    n = len(chunks)
+    return pa.table({"row": pa.array([t["row"][0].as_py()] * n, pa.int64()), "chunk": pa.array(chunks, pa.int32()), "enter": pa.array([list(x) for x in got[:-1]], pa.list_(pa.int64())), "leave": pa.array([list(x) for x in got[1:]], pa.list_(pa.int64()))})
+
+
+def _scan(matrices: DataFrame, chunks: int, fan: int) -> DataFrame:
+    """(row, chunk, enter, leave) from matrices (row, chunk, a, b, w) of documents of at most ``chunks`` chunks.
+
+    Level by level, ``fan`` neighbours are combined to one until each document has one matrix; its best path gives the outer
+    states, and the levels are read back in turn.  No task holds more than ``fan`` matrices of a document.
+    """
+    levels, now = [], matrices
+    while chunks > 1:
+        now = now.withColumn("up", F.floor(F.col("chunk") / fan).cast("int"))
+        levels.append(now)
+        now = stash(now.groupBy("row", "up").applyInArrow(_fold, "row long, chunk int, a array<long>, b array<long>, w double"), "fold")
+        chunks = -(-chunks // fan)
+    # equal weights: the path that sorts first
+    best = now.groupBy("row", "chunk").agg(F.min(F.struct((-F.col("w")).alias("w"), "a", "b")).alias("m"))
+    states = best.select("row", "chunk", F.col("m.a").alias("enter"), F.col("m.b").alias("leave"))
+    for level in reversed(levels):
+        known = states.select("row", F.col("chunk").alias("up"), "enter", "leave")
+        states = level.join(known.hint("merge"), ["row", "up"]).groupBy("row", "up").applyInArrow(_unfold, "row long, chunk int, enter array<long>, leave array<long>")
+    return states
+
+
 def chunk_ids(c: Codec, s: str, base: int, enter: tuple[int, int], leave: tuple[int, int]) -> list[int]:
     """Backtrace: the ids from the entering piece up to, not including, the leaving one."""
     return c.ids(s[enter[0] - base : leave[0] - base])
@@ -224,14 +276,6 @@ def encode_parts(docs: DataFrame, model: str, chunk: int = CHUNK) -> tuple[DataF
                 out += [{"row": x["row"], "chunk": x["chunk"], "a": list(p), "b": list(q), "w": w} for p, r in m.items() for q, w in r.items()]
             yield pa.RecordBatch.from_pylist(out, schema=ENTRY)
 
-    def states(t: pa.Table) -> pa.Table:
-        held: dict[int, dict] = {}
-        for x in t.to_pylist():
-            held.setdefault(x["chunk"], {}).setdefault(tuple(x["a"]), {})[tuple(x["b"])] = x["w"]
-        got = boundary_states([held[k] for k in sorted(held)])
-        n = len(got) - 1
-        return pa.table({"row": pa.array([t["row"][0].as_py()] * n, pa.int64()), "chunk": pa.array(range(n), pa.int32()), "enter": pa.array([list(x) for x in got[:-1]], pa.list_(pa.int64())), "leave": pa.array([list(x) for x in got[1:]], pa.list_(pa.int64()))})
-
     def trace(batches):
         c = codec(model)
         for b in batches:
@@ -241,8 +285,8 @@ def encode_parts(docs: DataFrame, model: str, chunk: int = CHUNK) -> tuple[DataF
 
     out = "row long, doc_id long, chunk int, chunks int, ids array<int>"
     slices = stash(rows.where(~small).mapInArrow(cut, "row long, doc_id long, chunk int, chunks int, base long, lo long, hi long, s string").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row", "chunk"), "slices")
-    known = slices.mapInArrow(matrices, "row long, chunk int, a array<long>, b array<long>, w double")
-    known = known.groupBy("row").applyInArrow(states, "row long, chunk int, enter array<long>, leave array<long>")  # a document's matrices
+    most = slices.agg(F.max("chunks")).first()[0] or 0
+    known = _scan(stash(slices.mapInArrow(matrices, "row long, chunk int, a array<long>, b array<long>, w double"), "matrices"), most, FAN)
     giant = slices.join(known, ["row", "chunk"]).mapInArrow(trace, out)
     return rows.where(small).mapInArrow(one, out), giant
 
@@ -268,29 +312,41 @@ def summary(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     Chunks are decoded each on its own; checksum and digest run over a document's chunks in order.
     """
 
-    def digest(parts: list[tuple[int, list[int]]]) -> tuple[int, int, str]:
-        c, crc, n, sha = codec(model), 0, 0, hashlib.sha256()
-        for k, ids in parts:
-            crc, n = zlib.crc32(np.array(ids, "<u4").tobytes(), crc), n + len(ids)
-            sha.update(decode_chunk(c, ids, k))
-        return n, crc, sha.hexdigest()
-
     names = ["doc_id", "n_tokens", "ids_crc32", "n_chunks", "decoded_sha256"]
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.string()]
 
     def single(batches):  # a document of one chunk: its matrices have one path, so ids and digests come at once
         c = codec(model)
         for b in batches:
-            got = [digest([(0, c.ids(c.normal(x.as_py() or "")))]) for x in b.column(1)]
-            columns = [b.column(0), *([g[k] for g in got] for k in (0, 1)), [1] * len(got), [g[2] for g in got]]
-            yield pa.RecordBatch.from_arrays([x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(columns, kinds)], names)
+            got = []
+            for x in b.column(1):
+                ids = c.ids(c.normal(x.as_py() or ""))
+                got.append((len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), 1, hashlib.sha256(decode_chunk(c, ids, 0)).hexdigest()))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array([g[k] for g in got], t) for k, t in enumerate(kinds[1:]))], names)
+        give_back()
+
+    def several(batches):
+        """Rows sorted by (row, chunk): checksum and digest run on from batch to batch, so no document is held whole."""
+        c, last, doc, n, crc, k, sha = codec(model), None, None, 0, 0, 0, None
 
-    def several(t: pa.Table) -> pa.Table:
-        t = t.sort_by("chunk")
-        n, crc, sha = digest([(k, x.as_py()) for k, x in zip(t["chunk"].to_pylist(), t["ids"])])
-        return pa.table([pa.array([v], k) for v, k in zip((t["doc_id"][0].as_py(), n, crc, t.num_rows, sha), kinds)], names)
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((doc, n, crc, k, sha.hexdigest()), kinds)], names)
+
+        for b in batches:
+            for row, doc_id, chunk, ids in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+                if row != last:
+                    if last is not None:
+                        yield done()
+                    last, doc, n, crc, k, sha = row, doc_id, 0, 0, 0, hashlib.sha256()
+                ids = ids.as_py()
+                n, crc, k = n + len(ids), zlib.crc32(np.array(ids, "<u4").tobytes(), crc), k + 1
+                sha.update(decode_chunk(c, ids, chunk))
+        if last is not None:
+            yield done()
+        give_back()
 
     _, giant = encode_parts(docs, model, chunk)
+    dealt = giant.select("row", "doc_id", "chunk", "ids").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row").sortWithinPartitions("row", "chunk")
     small = docs.where(F.coalesce(F.length("text"), F.lit(0)) < chunk)
     schema = "doc_id long, n_tokens long, ids_crc32 long, n_chunks int, decoded_sha256 string"
-    return small.select("doc_id", "text").mapInArrow(single, schema).unionByName(giant.groupBy("row").applyInArrow(several, schema))
+    return small.select("doc_id", "text").mapInArrow(single, schema).unionByName(dealt.mapInArrow(several, schema))
