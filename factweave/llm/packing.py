@@ -2,12 +2,13 @@
 
 Pieces are dealt at random into cells of bounded size.  Each cell is packed on several islands: populations
 of whole packings whose crossover injects well-filled bins of one parent into the other, removes the bins
-that hold the same pieces, and puts the displaced pieces back by best fit.  Between epochs an island's
+that hold the same pieces, and puts the displaced pieces back: in the place of smaller ones that they fill better, else by best fit.  Between epochs an island's
 best packing migrates to its neighbour.  Bins that stay badly filled are packed again together, across cells.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import random
 import zlib
@@ -21,7 +22,7 @@ from .common import give_back, small_batches, stash
 
 CAPACITY, END_ID = 2048, 0
 #: Pieces in a cell (about), islands a cell, packings an island, generations an epoch, epochs, levels.
-CELL, ISLANDS, POPULATION, GENERATIONS, EPOCHS, LEVELS = 8192, 2, 4, 10, 2, 3
+CELL, ISLANDS, POPULATION, GENERATIONS, EPOCHS, LEVELS = 8192, 2, 6, 20, 2, 3
 #: A bin filled to this share is final; others go to the next level.
 FILLED = 0.985
 #: Characters from which the slower library takes over, whose regular expressions need no stack.
@@ -140,13 +141,40 @@ def fitness(free: list[int], capacity: int) -> tuple[int, float]:
     return len(free), -float(np.square(np.array(free, float) / capacity).sum())
 
 
+def exchange(bins: list[list[int]], free: list[int], displaced: list[int], sizes: list[int]) -> list[int]:
+    """Displaced pieces, the largest first, take the place of a smaller one where that fills a bin best; what is left over goes on.
+
+    Each exchange lessens the free room, so it ends.
+    """
+    slots = [(i, k) for i, f in enumerate(free) if f for k in range(len(bins[i]))]
+    if not slots or not displaced:
+        return list(displaced)
+    where = np.array([i for i, _ in slots])
+    size = np.array([sizes[bins[i][k]] for i, k in slots])
+    room = np.array(free)
+    heap, out = [(-sizes[x], x) for x in displaced], []
+    heapq.heapify(heap)
+    while heap:
+        s, x = heapq.heappop(heap)
+        left = room[where] - (-s - size)
+        left[(size >= -s) | (left < 0)] = 1 << 40
+        at = int(left.argmin())
+        if left[at] == 1 << 40:
+            out.append(x)
+            continue
+        i, k = slots[at]
+        y, bins[i][k] = bins[i][k], x
+        size[at], room[i], free[i] = -s, left[at], int(left[at])
+        heapq.heappush(heap, (-sizes[y], y))
+    return out
+
+
 def crossover(a, b, sizes, capacity, rng):
-    """Inject some of b's best-filled bins into a; what they displace goes back by best fit."""
+    """Inject some of b's best-filled bins into a; pieces that this displaces are exchanged for smaller ones, the rest goes back by best fit."""
     (bins_a, _), (bins_b, free_b) = a, b
-    good = [i for i, f in enumerate(free_b) if f <= capacity // 200]
-    if not good:
-        good = sorted(range(len(free_b)), key=free_b.__getitem__)[: max(1, len(free_b) // 4)]
-    picked = rng.sample(good, max(1, int(len(good) * rng.uniform(0.1, 0.5))))
+    order = sorted(range(len(free_b)), key=lambda i: free_b[i] + rng.random())
+    many = max(1, int(len(order) * rng.uniform(0.1, 0.5)))
+    picked = order[:many] if rng.random() < 0.5 else rng.sample(order[: max(many, len(order) * 2 // 3)], many)
     held = {x for i in picked for x in bins_b[i]}
     bins, free, displaced = [list(bins_b[i]) for i in picked], [free_b[i] for i in picked], []
     bins_left, free_left = [], []
@@ -157,35 +185,35 @@ def crossover(a, b, sizes, capacity, rng):
         else:
             displaced += [x for x in group if x not in held]
     # mutation: the emptiest bins are dissolved too
-    worst = sorted(range(len(free_left)), key=free_left.__getitem__, reverse=True)[: max(1, len(free_left) // 50)]
+    worst = sorted(range(len(free_left)), key=free_left.__getitem__, reverse=True)[: max(1, len(free_left) // 20)]
     for i in sorted(worst, reverse=True):
         displaced += bins_left.pop(i)
         free_left.pop(i)
     bins, free = bins + bins_left, free + free_left
+    displaced = exchange(bins, free, displaced, sizes)
     displaced.sort(key=sizes.__getitem__, reverse=True)
     best_fit(bins, free, displaced, sizes, capacity)
     return bins, free
 
 
-def evolve(sizes: list[int], capacity: int, seed: int, guests=(), generations: int = GENERATIONS):
-    """The best packing (bins, free room) that one island finds in an epoch."""
+def evolve(sizes: list[int], capacity: int, seed: int, guests=(), generations: int | None = None):
+    """The best packing (bins, free room) that one island finds in an epoch; it ends early at the lower bound."""
     rng, least = random.Random(seed), least_bins(sizes, capacity)
     people = [list(map(list, g)) for g in guests]
     for k in range(len(people), max(POPULATION, len(people) + 1)):
-        noise = 0.0 if k == 0 else 0.05 * k
+        noise = 0.0 if k == 0 else 0.1 * k
         order = sorted(range(len(sizes)), key=lambda x: -sizes[x] * (1 + noise * rng.random()))
         bins, free = [], []
         best_fit(bins, free, order, sizes, capacity)
         people.append([bins, free])
         if len(bins) == least:
             return bins, free
-    for _ in range(generations):
+    for _ in range(GENERATIONS if generations is None else generations):
         people.sort(key=lambda p: fitness(p[1], capacity))
         if len(people[0][0]) == least:
             break
-        i, j = rng.sample(range(min(len(people), 3)), 2) if len(people) > 1 else (0, 0)
-        child = crossover(people[i], people[j], sizes, capacity, rng)
-        people[-1] = list(child)
+        i, j = rng.sample(range(len(people)), 2) if len(people) > 1 else (0, 0)
+        people[-1] = list(crossover(people[i], people[j], sizes, capacity, rng))
     people.sort(key=lambda p: fitness(p[1], capacity))
     return people[0]
 
