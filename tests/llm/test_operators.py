@@ -313,6 +313,38 @@ def test_crossover_keeps_every_piece():
     assert all(sum(sizes[x] for x in g) + f == 100 for g, f in zip(bins, free))
 
 
+def test_crossover_improves_on_the_seed():
+    """Triples that fill bins exactly: best fit by falling size misses them, generations find bins that it lacks."""
+    better = 0
+    for seed in range(6):
+        rng = random.Random(seed)
+        sizes = []
+        for _ in range(60):
+            a, b = rng.randint(260, 420), rng.randint(260, 420)
+            sizes += [a, b, 1000 - a - b]
+        first, free = [], []
+        packing.best_fit(first, free, sorted(range(len(sizes)), key=lambda x: -sizes[x]), sizes, 1000)
+        bins, room = packing.evolve(sizes, 1000, seed, generations=400)
+        assert sorted(x for g in bins for x in g) == list(range(len(sizes))) and len(bins) >= packing.least_bins(sizes, 1000)
+        assert len(bins) <= len(first) and all(sum(sizes[x] for x in g) + f == 1000 for g, f in zip(bins, room))
+        better += len(bins) < len(first)
+    assert better >= 4
+
+
+def test_islands_and_migration_improve_a_cell(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GENERATIONS", 60)
+    rng, sizes = random.Random(1), []
+    for _ in range(60):
+        a, b = rng.randint(260, 420), rng.randint(260, 420)
+        sizes += [a, b, 1000 - a - b]
+    first, free = [], []
+    packing.best_fit(first, free, sorted(range(len(sizes)), key=lambda x: -sizes[x]), sizes, 1000)
+    items = spark.createDataFrame(list(enumerate(sizes)), "uid long, length long")
+    got = packing.pack_level(items, 1000, 1).collect()
+    assert sorted(r["uid"] for r in got) == list(range(len(sizes)))
+    assert len({(r["cell"], r["bin"]) for r in got}) < len(first)
+
+
 @pytest.mark.parametrize("chunk", [200, 5000])
 def test_sentencepiece_scan(spark, odd, chunk):
     path = queries.tokenizer_file("piece_bpe_32k.model")
@@ -327,6 +359,21 @@ def test_sentencepiece_scan(spark, odd, chunk):
     assert got == want
 
 
+def test_sentencepiece_levels(spark, odd, monkeypatch):
+    """Chunks are combined over several levels."""
+    monkeypatch.setattr(sentencepiece_scan, "FAN", 3)
+    path = queries.tokenizer_file("piece_bpe_32k.model")
+    whole = sentencepiece_scan.codec(path).whole
+    rows = [(1, odd[6][1][:9000]), (2, "  a b " * 700), (2, odd[6][1][:700]), (3, "日本語 x" * 500)]
+    got = Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"], r["n_chunks"]) for r in sentencepiece_scan.summary(frame(spark, rows), path, 200).collect())
+    want = Counter()
+    for i, t in rows:
+        ids = whole.encode(t)
+        n = len(sentencepiece_scan.codec(path).normal(t))
+        want[i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()), len(range(0, max(n - 100, 1), 200))] += 1
+    assert got == want and max(k[3] for k in got) > 27
+
+
 def test_max_plus_product_is_associative():
     rng = random.Random(1)
     m = lambda: {a: {b: float(rng.randint(-9, 9)) for b in "xyz" if rng.random() > 0.3} for a in "xyz"}
@@ -354,6 +401,38 @@ def test_license_texts_and_wrapped_lines(spark):
     assert got == {k: (family, 1, 0) for k, (_, family) in enumerate(texts)}
 
 
+def test_license_families_equal_brute_force(spark, small):
+    """Every line and paragraph of documents and of license texts, scored and compared one by one."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text").collect()]
+    docs += [(-k, "intro\n\n" + b.replace(". ", ".\n") + "\n\nmore") for k, b in enumerate((b for bs in licenses.BODIES.values() for b in bs), 1)]
+    model, classes = licenses.train(), [licenses.UNKNOWN, *licenses.NAMES]
+
+    def family(unit):
+        grams = set(licenses.grams(licenses.tokens(unit)))
+        fits = {f for f, needed, least in licenses.templates() if len(grams & set(needed)) >= least}
+        z = (np.array(model["bias"]) + sum((np.array(model["weights"][g]) for g in grams if g in model["weights"]), np.zeros(len(classes)))) / model["temperature"]
+        p = np.exp(z - z.max())
+        p /= p.sum()
+        k = int(p[1:].argmax()) + 1
+        return classes[k] if classes[k] in fits and p[k] >= model["least"] else None
+
+    want = {}
+    for i, text in docs:
+        found, n = set(), 0
+        for block in re.split(r"(?:\r\n?|\n)(?:[^\w\r\n]*(?:\r\n?|\n))+", text or ""):
+            lines = [x for x in re.split(r"[\r\n]+", block)]
+            single = [f for f in map(family, lines) if f]
+            whole = family(block) if len(lines) > 1 else None
+            found.update(single)
+            n += len(single)
+            if whole and whole not in single:
+                found.add(whole)
+                n += 1
+        want[i] = (",".join(sorted(found)), n)
+    got = {r["doc_id"]: (r["families"], r["n_licensed"]) for r in licenses.scan(frame(spark, docs), model).collect()}
+    assert got == want and sum(bool(f) for f, _ in want.values()) > 10
+
+
 def test_no_template_is_confirmed_without_a_candidate_word():
     for family, needed, least in licenses.templates():
         assert sum(not re.search(licenses.CANDIDATE, g) for g in needed) < least, (family, needed)
