@@ -23,7 +23,7 @@ from .common import give_back, small_batches, stash
 #: Characters in a chunk; documents up to this size are one chunk.
 CHUNK = 16_384
 #: Characters beyond a cut in which two segmentations are expected to meet; doubled until they do.
-WINDOW = 256
+WINDOW = 64
 
 #: Matrices of neighbouring chunks that are combined at once.
 FAN = 64
@@ -256,8 +256,8 @@ def encode_parts(docs: DataFrame, model: str, chunk: int = CHUNK) -> tuple[DataF
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([0] * n, pa.int32()), pa.array([1] * n, pa.int32()), pa.array(ids, pa.list_(pa.int32()))], ["row", "doc_id", "chunk", "chunks", "ids"])
 
     def cut(batches):
-        margin = 4096
         c = codec(model)
+        margin = c.longest + 1  # states on either side of a cut reach so far
         for b in batches:
             for row, doc, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 s = c.normal(text.as_py())
@@ -287,7 +287,7 @@ def encode_parts(docs: DataFrame, model: str, chunk: int = CHUNK) -> tuple[DataF
     slices = stash(rows.where(~small).mapInArrow(cut, "row long, doc_id long, chunk int, chunks int, base long, lo long, hi long, s string").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "row", "chunk"), "slices")
     most = slices.agg(F.max("chunks")).first()[0] or 0
     known = _scan(stash(slices.mapInArrow(matrices, "row long, chunk int, a array<long>, b array<long>, w double"), "matrices"), most, FAN)
-    giant = slices.join(known, ["row", "chunk"]).mapInArrow(trace, out)
+    giant = slices.join(known.hint("merge"), ["row", "chunk"]).mapInArrow(trace, out)
     return rows.where(small).mapInArrow(one, out), giant
 
 
