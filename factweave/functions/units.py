@@ -70,6 +70,27 @@ CURRENCIES = {
     "usDollar": "$|US$|USD|US dollar", "euro": "€|EUR|Euro", "poundSterling": "£|GBP|Pound sterling", "japaneseYen": "¥|JPY|yen", "russianRouble": "RUB|RUR|Russian rouble",
     "swissFranc": "CHF|Swiss franc", "canadianDollar": "CAD|Canadian dollar", "australianDollar": "AUD|Australian dollar", "indianRupee": "INR|Indian rupee", "renminbi": "CNY|Renminbi",
 }
+#: The other currencies of the international list by code and name (fixed values); ``WORLD_CURRENCIES`` is made from it by rule.
+_WORLD = """
+    AED United Arab Emirates dirham, AFN Afghan afghani, ALL Albanian lek, AMD Armenian dram, ANG Netherlands Antillean guilder, AOA Angolan kwanza, ARS Argentine peso, AWG Aruban florin, AZN Azerbaijani manat,
+    BAM Bosnia and Herzegovina convertible mark, BBD Barbados dollar, BDT Bangladeshi taka, BGN Bulgarian lev, BHD Bahraini dinar, BIF Burundian franc, BMD Bermudian dollar, BND Brunei dollar, BOB Bolivian boliviano, BRL Brazilian real,
+    BSD Bahamian dollar, BTN Bhutanese ngultrum, BWP Botswana pula, BYR Belarusian ruble, BZD Belize dollar, CDF Congolese franc, CLP Chilean peso, COP Colombian peso, CRC Costa Rican colon, CUP Cuban peso, CVE Cape Verde escudo,
+    CZK Czech koruna, DJF Djibouti franc, DKK Danish krone, DOP Dominican peso, DZD Algerian dinar, EEK Estonian kroon, EGP Egyptian pound, ERN Eritrean nakfa, ETB Ethiopian birr, FJD Fiji dollar, FKP Falkland Islands pound,
+    GEL Georgian lari, GHS Ghanaian cedi, GIP Gibraltar pound, GMD Gambian dalasi, GNF Guinea franc, GTQ Guatemalan quetzal, GYD Guyana dollar, HKD Hong Kong dollar, HNL Honduran lempira, HRK Croatian kuna, HTG Haitian gourde,
+    HUF Hungarian forint, IDR Indonesian rupiah, ILS Israeli new sheqel, IQD Iraqi dinar, IRR Iranian rial, ISK Icelandic krona, JMD Jamaican dollar, JOD Jordanian dinar, KES Kenyan shilling, KGS Kyrgyzstani som, KHR Cambodian riel,
+    KMF Comorian franc, KPW North Korean won, KRW South Korean won, KWD Kuwaiti dinar, KYD Cayman Islands dollar, KZT Kazakhstani tenge, LAK Lao kip, LBP Lebanese pound, LKR Sri Lankan rupee, LRD Liberian dollar, LSL Lesotho loti,
+    LTL Lithuanian litas, LVL Latvian lats, LYD Libyan dinar, MAD Moroccan dirham, MDL Moldovan leu, MGA Malagasy ariary, MKD Macedonian denar, MMK Myanma kyat, MNT Mongolian togrog, MOP Macanese pataca, MRO Mauritanian ouguiya,
+    MUR Mauritian rupee, MVR Maldivian rufiyaa, MWK Malawian kwacha, MXN Mexican peso, MYR Malaysian ringgit, MZN Mozambican metical, NAD Namibian dollar, NGN Nigerian naira, NIO Nicaraguan cordoba, NOK Norwegian krone,
+    NPR Nepalese rupee, NZD New Zealand dollar, OMR Omani rial, PAB Panamanian balboa, PEN Peruvian nuevo sol, PGK Papua New Guinean kina, PHP Philippine peso, PKR Pakistani rupee, PLN Polish zloty, PYG Paraguayan guarani,
+    QAR Qatari riyal, RON Romanian leu, RSD Serbian dinar, RWF Rwandan franc, SAR Saudi riyal, SBD Solomon Islands dollar, SCR Seychellois rupee, SDG Sudanese pound, SEK Swedish krona, SGD Singapore dollar, SHP Saint Helena pound,
+    SLL Sierra Leonean leone, SOS Somali shilling, SRD Surinamese dollar, STD Sao Tome and Principe dobra, SYP Syrian pound, SZL Swazi lilangeni, THB Thai baht, TJS Tajikistani somoni, TMT Turkmenistani manat, TND Tunisian dinar,
+    TOP Tongan paanga, TRY Turkish lira, TTD Trinidad and Tobago dollar, TWD New Taiwan dollar, TZS Tanzanian shilling, UAH Ukrainian hryvnia, UGX Ugandan shilling, UYU Uruguayan peso, UZS Uzbekistani som, VND Vietnamese dong,
+    VUV Vanuatu vatu, WST Samoan tala, XAF Central African CFA franc, XCD East Caribbean dollar, XOF West African CFA franc, XPF CFP franc, YER Yemeni rial, ZAR South African rand, ZMK Zambian kwacha, ZWL Zimbabwean dollar
+"""
+#: unit -> labels of all other currencies, to be passed as ``more`` to ``cascade.money``: the unit is the name in camel case, the labels are code and name.
+WORLD_CURRENCIES = {
+    "".join(w if k == 0 else w.capitalize() for k, w in enumerate(name.lower().split())): f"{code}|{name}" for code, name in (x.strip().split(" ", 1) for x in _WORLD.replace("\n", " ").split(","))
+}
 #: Units of which less is more: standard = factor / value (fixed values).
 INVERSE = {"litresPerHundredKilometres": ("FuelEfficiency", 100.0, "l/100km|L/100km")}
 

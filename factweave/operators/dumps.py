@@ -46,3 +46,43 @@ def page_type(ns: Column, title: Column, deleted: Column) -> Column:
 def stream_filter(ns: Column, title: Column, project: str) -> Column:
     """Articles, templates, categories, and the project's own user pages."""
     return ns.isin(0, 10, 14) | ((ns == 2) & title.startswith(project))
+
+
+def counted(rows: DataFrame, name: str, **conditions: Column) -> tuple[DataFrame, object]:
+    """The rows, unchanged, and an observation with their number and that of each condition, filled when an action has run.
+
+    Counting rides on the action: no job of its own, no row passes the driver.
+    """
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(F.count_if(c).alias(n) for n, c in conditions.items())), seen
+
+
+#: Namespaces of schema pages (fixed values).
+SCHEMA_NAMESPACES = (200, 202)
+
+
+def schema_filter(ns: Column, namespaces=SCHEMA_NAMESPACES) -> Column:
+    """Pages of the ontology's own namespaces."""
+    return ns.isin(*namespaces)
+
+
+def accept_all() -> Column:
+    return F.lit(True)
+
+
+def template_filter(name: Column, accepted: list[str] = (), ignored: list[str] = (), also: list[Column] = ()) -> Column:
+    """Names (or patterns with ``*``) that pass: accepted if any are stated, not ignored, and under all further conditions."""
+    def fits(patterns):
+        return F.lower(name).rlike("^(?:" + "|".join(".*".join(_quoted(x) for x in p.lower().split("*")) for p in patterns) + ")$")
+
+    out = fits(accepted) if accepted else F.lit(True)
+    out = out & ~fits(ignored) if ignored else out
+    for c in also:
+        out = out & c
+    return out
+
+
+def _quoted(text: str) -> str:
+    return "".join("\\" + ch if ch in "\\^$.|?*+()[]{}" else ch for ch in text)

@@ -120,11 +120,11 @@ def semantic_links(pages: DataFrame, base: str) -> DataFrame:
     return _facts(pages, _page(base), F.concat(links, F.transform(pairs(":="), lambda x: row(x, F.trim(x["o"]), "literal"))))
 
 
-def _fact(s: Column, p: str, o: Column, kind: str = "uri", datatype: str | None = None) -> Column:
+def _statement(s: Column, p: str, o: Column, kind: str = "uri", datatype: str | None = None) -> Column:
     return F.struct(s.alias("s"), F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit(datatype).cast("string").alias("datatype"))
 
 
-def _facts(rows: DataFrame, *facts: Column) -> DataFrame:
+def _statements(rows: DataFrame, *facts: Column) -> DataFrame:
     """page_id and the facts whose object is there."""
     each = rows.select("page_id", F.explode(F.array(*facts)).alias("f"))
     return each.select("page_id", "f.*").where("o is not null")
@@ -134,7 +134,7 @@ def twins(langlinks: DataFrame, pages: DataFrame, base: str, domains: dict[str,
     """Facts ``sameAs`` for the twins (page_id, lang, title) of pages, in the languages whose resource bases are stated."""
     other = F.try_element_at(F.create_map(*(F.lit(x) for kv in domains.items() for x in kv)), F.col("lang"))
     rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s")).join(langlinks.select("page_id", "lang", F.col("title").alias("twin")), "page_id")
-    return _facts(rows, _fact(F.col("s"), "sameAs", F.concat(other, wiki_encode(F.col("twin")))))
+    return _statements(rows, _statement(F.col("s"), "sameAs", F.concat(other, wiki_encode(F.col("twin")))))
 
 
 def image_facts(pages: DataFrame, nonfree: DataFrame, base: str, files: str, wiki: str) -> DataFrame:
@@ -147,7 +147,7 @@ def image_facts(pages: DataFrame, nonfree: DataFrame, base: str, files: str, wik
     full = image_url(F.col("file"), files)
     small = F.concat(image_url(F.col("file"), files + "/thumb"), F.lit("/"), F.col("width").cast("string"), F.lit("px-"), F.col("file"), F.when(F.lower("file").endswith(".svg"), ".png").otherwise(""))
     rights = F.concat(F.lit(wiki + "/wiki/Image:"), F.url_encode("file"))
-    return _facts(rows, _fact(F.col("s"), "depiction", full), _fact(full, "thumbnail", small), _fact(F.col("s"), "pageThumbnail", small), _fact(small, "rights", rights), _fact(full, "rights", rights))
+    return _statements(rows, _statement(F.col("s"), "depiction", full), _statement(full, "thumbnail", small), _statement(F.col("s"), "pageThumbnail", small), _statement(small, "rights", rights), _statement(full, "rights", rights))
 
 
 def place_facts(pages: DataFrame, base: str, title_only: bool = False) -> DataFrame:
@@ -157,7 +157,7 @@ def place_facts(pages: DataFrame, base: str, title_only: bool = False) -> DataFr
     rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s"), place(F.col("source"), title_only).alias("c")).where("c is not null")
     s, double = F.col("s"), "double"
     point = F.concat_ws(" ", F.col("c.lat").cast("string"), F.col("c.lon").cast("string"))
-    return _facts(rows, _fact(s, "lat", F.col("c.lat"), "literal", double), _fact(s, "long", F.col("c.lon"), "literal", double), _fact(s, "point", point, "literal"), _fact(s, "featureClass", F.regexp_extract("c.type", "^([a-z]+)", 1), "literal"), _fact(s, "population", F.col("c.population"), "literal", "integer"))
+    return _statements(rows, _statement(s, "lat", F.col("c.lat"), "literal", double), _statement(s, "long", F.col("c.lon"), "literal", double), _statement(s, "point", point, "literal"), _statement(s, "featureClass", F.regexp_extract("c.type", "^([a-z]+)", 1), "literal"), _statement(s, "population", F.col("c.population"), "literal", "integer"))
 
 
 def abstract_facts(pages: DataFrame, base: str) -> DataFrame:
@@ -166,7 +166,7 @@ def abstract_facts(pages: DataFrame, base: str) -> DataFrame:
 
     comment, abstract = page_abstracts(F.col("source"))
     rows = pages.select("page_id", F.concat(F.lit(base), wiki_encode(F.col("title"))).alias("s"), F.nullif(comment, F.lit("")).alias("c"), F.nullif(abstract, F.lit("")).alias("a"))
-    return _facts(rows, _fact(F.col("s"), "comment", F.col("c"), "literal"), _fact(F.col("s"), "abstract", F.col("a"), "literal"))
+    return _statements(rows, _statement(F.col("s"), "comment", F.col("c"), "literal"), _statement(F.col("s"), "abstract", F.col("a"), "literal"))
 
 
 def template_redirects(pages: DataFrame, known: DataFrame, keywords: tuple[str, ...] = ("#REDIRECT",)) -> DataFrame:

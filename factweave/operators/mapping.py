@@ -23,6 +23,19 @@ XSD = C.XSD
 BREAK = r"(?i)<br\s*/?>"
 
 
+#: Rows up to which a rule table is sent to all tasks, and parts into which a hot key of the cells is dealt where it has more.
+SMALL_ROWS, SALTS = 100_000, 32
+
+
+def with_rules(cells: DataFrame, rules: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """cells joined with a rule table: broadcast if it is counted to be small, else dealt by key and page, so that a template of a third
+    of all pages comes to many tasks."""
+    if rules.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return cells.join(F.broadcast(rules), on, how)
+    each = rules.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    return cells.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS).cast("long"))).join(each, [*on, "_salt"], how).drop("_salt")
+
+
 def resolve_redirects(redirects: DataFrame, rounds: int = 20) -> DataFrame:
     """(source, target) with each target at the end of its chain, by doubling; sources on a cycle or leading into one are left out.
 
@@ -75,7 +88,8 @@ def instances(properties: DataFrame, templates: DataFrame, base: str) -> DataFra
     its key (else of their first property), numbered ``__1``, ... where that repeats. All windows lie within a page, so one
     shuffle by page_id serves them.
     """
-    cells = properties.where(F.col("error").isNull() & F.col("via").isNull()).select("page_id", "title", "ordinal", "position", "template", "key", "value", "raw").join(templates, "template")
+    cells = properties.where(F.col("error").isNull() & F.col("via").isNull()).select("page_id", "title", "ordinal", "position", "template", "key", "value", "raw")
+    cells = with_rules(cells, templates, ["template"])
     by_page, template = W.partitionBy("page_id").orderBy("ordinal"), W.partitionBy("page_id", "ordinal")
     cells = cells.withColumn("nth", F.dense_rank().over(by_page)).withColumn("page_class", F.first("class").over(by_page)).withColumn("page", F.concat(F.lit(base), wiki_encode(F.col("title"))))
     named = F.min(F.struct((~F.lower("key").contains("name")).alias("rest"), "position", F.col("value").alias("v"))).over(template)["v"]
@@ -102,7 +116,8 @@ def map_pages(properties: DataFrame, templates: DataFrame, rules: DataFrame, ont
     ups = ancestors.groupBy("class").agg(F.sort_array(F.collect_set("ancestor")).alias("ups"))
     known = rules.join(ontology.select("property", "range", "functional"), "property", "left").join(ontology.select(F.col("property").alias("property2"), F.col("range").alias("range2")), "property2", "left")
     known = known.groupBy("template", "key").agg(F.collect_list(F.struct("kind", "property", "property2", "key2", "node_class", "unit", "range", "range2", "functional")).alias("rules"))
-    cells = instances(properties, templates, base).join(ups, "class", "left").join(ups.toDF("page_class", "page_ups"), "page_class", "left").join(known, ["template", "key"], "left")
+    cells = with_rules(instances(properties, templates, base), ups, ["class"], "left")
+    cells = with_rules(with_rules(cells, ups.toDF("page_class", "page_ups"), ["page_class"], "left"), known, ["template", "key"], "left")
 
     r = "page_id s first nth page ups page_ups corr_class corr_property key value raw cells".split()
     rows = cells.select(*r, F.posexplode_outer("rules").alias("rule_no", "rule")).select(*r, "rule_no", "rule.*")

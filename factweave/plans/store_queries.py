@@ -144,3 +144,28 @@ def k21(spark, d):
     FROM orders WINDOW w AS (PARTITION BY o_custkey)""")
 def k9_lines(spark, d):
     return K.page_export_lines(_revisions(spark, d))
+
+
+@query("f12b_schema_pages", "SELECT doc_id FROM documents WHERE 200 + doc_id % 5 IN (200, 202)")
+def f12b(spark, d):
+    from factweave.operators import dumps as D
+
+    return table(spark, d, "documents").where(D.schema_filter(F.col("doc_id") % 5 + 200) & D.accept_all()).select("doc_id")
+
+
+@query("f21_template_filters", "SELECT doc_id, source FROM documents WHERE (starts_with(source, 'src1') OR source = 'src2') AND source <> 'src12' AND n_chars > 100")
+def f21(spark, d):
+    from factweave.operators import dumps as D
+
+    return table(spark, d, "documents").where(D.template_filter(F.col("source"), ["SRC1*", "src2"], ["src12"], [F.col("n_chars") > 100])).select("doc_id", "source")
+
+
+@query("n9a_currencies", "SELECT p_partkey, (p_size * 1000 + 500)::DOUBLE AS value, (['swedishKrona', 'southKoreanWon', 'brazilianReal', 'zambianKwacha'])[1 + p_partkey % 4] AS unit FROM part")
+def n9a(spark, d):
+    """Codes and names of the international list, before and after the number."""
+    from factweave.functions import cascade as C
+    from factweave.functions import units as U
+
+    n, k = F.format_number(F.col("p_size") * 1000 + 500, 0), F.col("p_partkey") % 4
+    text = F.when(k == 0, F.concat(F.lit("SEK "), n)).when(k == 1, F.concat(n, F.lit(" South Korean won"))).when(k == 2, F.concat(F.lit("BRL"), n)).otherwise(F.concat(n, F.lit(" ZMK")))
+    return table(spark, d, "part").select("p_partkey", C.money(text, F.lit("en"), U.WORLD_CURRENCIES).alias("m")).select("p_partkey", "m.value", "m.unit")

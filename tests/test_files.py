@@ -119,3 +119,27 @@ def test_deepening_reads_saved_lengths(spark):
     saved[1] = spark.createDataFrame([("a", "q", "c")], "n0 string, p1 string, n1 string")
     assert G.deepening(e, F.col("node") == "a", F.col("node") == "c", 3, saved)[0] == 1
     assert G.deepening(e, F.col("node") == "c", F.col("node") == "a", 2) == (0, None)
+
+
+def test_rows_are_counted_on_the_way(spark):
+    from factweave.operators import dumps as D
+
+    rows, seen = D.counted(spark.range(100), "pages", even=F.col("id") % 2 == 0)
+    assert rows.where("id < 10").count() == 10
+    assert seen.get == {"rows": 100, "even": 50}
+
+
+def test_currencies_are_one_a_code():
+    from factweave.functions import units as U
+
+    assert len(U.WORLD_CURRENCIES) + len(U.CURRENCIES) > 150 and U.WORLD_CURRENCIES["polishZloty"] == "PLN|Polish zloty"
+
+
+def test_rule_tables_too_large_to_broadcast(spark, monkeypatch):
+    from factweave.operators import mapping
+
+    cells = spark.createDataFrame([(k, "t" if k % 3 else "u") for k in range(60)], "page_id long, template string")
+    rules = spark.createDataFrame([("t", 1), ("t", 2)], "template string, rule int")
+    small = sorted(map(tuple, mapping.with_rules(cells, rules, ["template"], "left").collect()), key=str)
+    monkeypatch.setattr(mapping, "SMALL_ROWS", 1)
+    assert sorted(map(tuple, mapping.with_rules(cells, rules, ["template"], "left").collect()), key=str) == small
