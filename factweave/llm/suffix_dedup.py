@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from .bloom import passes, shared_bloom
 from .common import drop_stash, fresh, give_back, mix, small_batches, spans_hash, stash, text_blocks, text_or_empty
+from .exact_dedup import SALTS
 
 LENGTH, GRAM, STRIDE = 400, 32, 100
 #: Bytes of context texts merged at once in a task, and bytes of a shard.
@@ -300,8 +301,11 @@ def _wide(texts: DataFrame, length: int, stride: int, gram: int) -> DataFrame:
     while not hot.isEmpty():
         split = stash(hot.mapInArrow(_halves(length), "g long, k long, g2 long, k2 long, i int, j int, w int, n long, x binary"), "halves")
         parts = split.groupBy("g2", "k2").agg(*(F.first(c).alias(c) for c in ("i", "j", "w", "x")), F.sum("n").alias("n")).withColumnsRenamed({"g2": "g", "k2": "k"})
-        kinds = parts.groupBy("g").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).where("total > 1").drop("total")
-        parts = stash(parts.join(kinds.hint("merge"), "g"), "parts")
+        # counted by (group, part of the group) first, and joined by it, so a group of any size comes to many tasks
+        parts = parts.withColumn("salt", F.pmod(F.xxhash64("k"), F.lit(SALTS)))
+        kinds = parts.groupBy("g", "salt").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("s"))
+        kinds = kinds.groupBy("g").agg(F.sum("c").alias("kinds"), F.sum("s").alias("total"), F.collect_list("salt").alias("salts")).where("total > 1")
+        parts = stash(parts.join(kinds.select("g", "kinds", F.explode("salts").alias("salt")).hint("merge"), ["g", "salt"]).drop("salt"), "parts")
         moved = split.select("g", "k", "g2", "k2", F.col("w").alias("w2")).join(parts.select(F.col("g").alias("g2"), F.col("k").alias("k2"), "n"), ["g2", "k2"])
         links = stash(links.join(moved.hint("merge"), ["g", "k"]).select("a", "c", F.col("g2").alias("g"), F.col("k2").alias("k"), F.col("w2").alias("w"), "w0", "n"), "links")
         whole = F.array(F.struct(F.lit(0).alias("lo"), (F.length("x") - length + 1).alias("hi")))
