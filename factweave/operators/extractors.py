@@ -112,6 +112,11 @@ def meta_information(records: DataFrame, base: str, host: str) -> DataFrame:
     return _facts(records, _page(base), facts)
 
 
+def marked_pages(pages: DataFrame, base: str, mark: str, p: str, o: str) -> DataFrame:
+    """One stated fact for each page that holds a mark, such as the header template of a kind of infobox."""
+    return _facts(pages.where(F.contains("source", F.lit(mark))), _page(base), F.array(_fact(p, F.lit(o))))
+
+
 def semantic_links(pages: DataFrame, base: str) -> DataFrame:
     """``[[p::o]]`` as links and ``[[p:=v]]`` as literals."""
     pairs = lambda mark: F.arrays_zip(_targets(rf"\[\[([^\]|:]+){mark}[^\]]*\]\]").alias("p"), F.regexp_extract_all("source", F.lit(rf"\[\[[^\]|:]+{mark}([^\]|]*)"), F.lit(1)).alias("o"))

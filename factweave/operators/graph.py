@@ -65,6 +65,32 @@ def path_families(edges: DataFrame, start: Column, end: Column, length: int, **o
     return out
 
 
+def paths_of(found: DataFrame, types: DataFrame, classes: list[str] = (), predicates: list[str] = ()) -> DataFrame:
+    """Paths (n0 p1 n1 ...) whose predicates are all stated ones, and whose inner nodes all have a stated class by types (node, class)."""
+    for c in [x for x in found.columns if x[0] == "p"] if predicates else ():
+        found = found.where(F.col(c).isin(*predicates))
+    inner = sorted((x for x in found.columns if x[0] == "n"), key=lambda x: int(x[1:]))[1:-1]
+    for c in inner if classes else ():
+        found = found.join(types.where(F.col("class").isin(*classes)).select(F.col("node").alias(c)).distinct(), c, "left_semi")
+    return found
+
+
+def breadth_first(edges: DataFrame, starts: DataFrame, depth: int) -> DataFrame:
+    """(node, distance) of all nodes within ``depth`` edges of the starts (node), walking edges (a, b) in their direction.
+
+    A round joins only the nodes reached last, and nodes seen are left out, so an edge is walked once; rounds are checkpointed.
+    """
+    step = edges.select(F.col("a").alias("node"), F.col("b").alias("_to")).distinct()
+    seen = last = written(starts.select("node").distinct().withColumn("distance", F.lit(0)), "starts")
+    for k in range(1, depth + 1):
+        reached = last.join(step, "node").select(F.col("_to").alias("node")).distinct()
+        last = written(reached.join(seen.select("node"), "node", "left_anti").withColumn("distance", F.lit(k)), "reached")
+        if last.isEmpty():
+            break
+        seen = seen.unionByName(last)
+    return seen
+
+
 def deepening(edges: DataFrame, start: Column, end: Column, max_length: int, saved: dict[int, DataFrame] | None = None) -> tuple[int, DataFrame | None]:
     """The least length up to ``max_length`` with a chain, and those chains; lengths found in ``saved`` are not searched again."""
     saved = {} if saved is None else saved

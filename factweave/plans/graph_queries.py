@@ -58,6 +58,20 @@ def p9(spark, d):
     return G.ancestors(c)
 
 
+@query("p13_breadth_first", f"WITH RECURSIVE {_EDGES}, e AS (SELECT a, b FROM edges UNION SELECT b, a FROM edges), r(node, distance) AS (SELECT 's1', 0 UNION SELECT e.b, r.distance + 1 FROM r JOIN e ON e.a = r.node WHERE r.distance < 3) SELECT node, min(distance) AS distance FROM r GROUP BY node")
+def p13(spark, d):
+    """What lies within three edges of a supplier, either way."""
+    return G.breadth_first(G.symmetric(edges(spark, d)), spark.createDataFrame([("s1",)], "node string"), 3)
+
+
+@query("p13_paths_of_classes", f"WITH {_EDGES} SELECT x.a AS n0, x.p AS p1, x.b AS n1, y.p AS p2, y.b AS n2 FROM edges x JOIN edges y ON x.b = y.a JOIN customer ON x.b = 'c' || c_custkey WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND x.a LIKE 'o%'")
+def p13_classes(spark, d):
+    """Orders to nations over customers of two segments."""
+    types = table(spark, d, "customer").select(F.concat(F.lit("c"), "c_custkey").alias("node"), F.col("c_mktsegment").alias("class"))
+    found = G.paths(edges(spark, d), F.col("node").startswith("o"), F.lit(True), 2)
+    return G.paths_of(found, types, ["BUILDING", "MACHINERY"], ["customer", "nation"])
+
+
 @query("g1_wikitext_nodes")
 def g1(spark, d):
     """Documents as pages of markup: a section, a template with links, and the text."""

@@ -169,3 +169,70 @@ def n9a(spark, d):
     n, k = F.format_number(F.col("p_size") * 1000 + 500, 0), F.col("p_partkey") % 4
     text = F.when(k == 0, F.concat(F.lit("SEK "), n)).when(k == 1, F.concat(n, F.lit(" South Korean won"))).when(k == 2, F.concat(F.lit("BRL"), n)).otherwise(F.concat(n, F.lit(" ZMK")))
     return table(spark, d, "part").select("p_partkey", C.money(text, F.lit("en"), U.WORLD_CURRENCIES).alias("m")).select("p_partkey", "m.value", "m.unit")
+
+
+@query("v5_inserted_rows", "SELECT p_partkey::VARCHAR AS id, p_name || ' \\n it''s (\"a\", b); ' || chr(10) || p_brand AS name, CASE WHEN p_size % 2 = 0 THEN p_size::VARCHAR END AS size FROM part")
+def v5(spark, d):
+    """A dump's statements written and read back: quotes, backslashes, line ends, brackets and nulls."""
+    name = F.concat("p_name", F.lit(' \\n it\'s ("a", b); \n'), "p_brand")
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("id"), name.alias("name"), F.when(F.col("p_size") % 2 == 0, F.col("p_size")).alias("size"))
+    return S.inserted_rows(K.insert_statements(rows, "parts", block=2000), "parts", ["id", "name", "size"])
+
+
+def _catalogue(spark, d):
+    p = table(spark, d, "part")
+    bag = F.format_string("<rdf:Bag><rdf:li>B%d</rdf:li><rdf:li>C%d</rdf:li></rdf:Bag>", F.col("p_size"), F.col("p_size"))
+    creator = F.when(F.col("p_partkey") % 2 == 0, bag).otherwise(F.format_string("A%d", F.col("p_size")))
+    book = F.concat(
+        F.format_string('<pgterms:etext rdf:ID="etext%d"><dc:publisher>&pg;</dc:publisher><dc:title rdf:parseType="Literal">%s &amp; more</dc:title><dc:creator>', "p_partkey", "p_name"), creator,
+        F.format_string("</dc:creator><dc:contributor>%s [Translator]</dc:contributor><dc:created><dcterms:W3CDTF><rdf:value>2001-02-03</rdf:value></dcterms:W3CDTF></dc:created><dc:subject><dcterms:LCSH><rdf:value>%s</rdf:value></dcterms:LCSH></dc:subject></pgterms:etext>", "p_brand", "p_type"),
+    )
+    file = F.format_string('<pgterms:file rdf:about="&f;%d.txt"><dc:format><dcterms:IMT><rdf:value>text/plain</rdf:value></dcterms:IMT></dc:format><dcterms:extent>%d</dcterms:extent><dcterms:modified><dcterms:W3CDTF><rdf:value>2002-03-04</rdf:value></dcterms:W3CDTF></dcterms:modified><dcterms:isFormatOf rdf:resource="#etext%d" /></pgterms:file>', "p_partkey", "p_size", "p_partkey")
+    return S.catalogue_tables(p.select(book.alias("value")), p.select(file.alias("value")), {"pg": "The Press", "f": "http://f/"})
+
+
+@query("s24_catalogue_texts", "SELECT p_partkey AS text_id, 'The Press' AS publisher, p_name || ' & more' AS title, DATE '2001-02-03' AS created FROM part")
+def s24(spark, d):
+    return _catalogue(spark, d)["texts"].select("text_id", "publisher", "title", "created")
+
+
+@query("s24_catalogue_names", """SELECT 'creator' AS kind, p_partkey AS text_id, x AS name, NULL::VARCHAR AS type FROM (SELECT p_partkey, unnest(CASE WHEN p_partkey % 2 = 0 THEN ['B' || p_size, 'C' || p_size] ELSE ['A' || p_size] END) AS x FROM part)
+    UNION ALL SELECT 'contributor', p_partkey, p_brand, 'Translator' FROM part UNION ALL SELECT 'subject', p_partkey, p_type, NULL FROM part""")
+def s24_names(spark, d):
+    t, null = _catalogue(spark, d), F.lit(None).cast("string").alias("type")
+    out = t["creators"].select(F.lit("creator").alias("kind"), "text_id", "name", null)
+    out = out.unionByName(t["contributors"].select(F.lit("contributor").alias("kind"), "text_id", "name", "type"))
+    return out.unionByName(t["subjects"].select(F.lit("subject").alias("kind"), "text_id", F.col("subject").alias("name"), null))
+
+
+@query("s24_catalogue_files", "SELECT p_partkey AS text_id, 'http://f/' || p_partkey || '.txt' AS url, 'text/plain' AS format1, NULL::VARCHAR AS format2, DATE '2002-03-04' AS modified, p_size::BIGINT AS extent FROM part")
+def s24_files(spark, d):
+    return _catalogue(spark, d)["files"]
+
+
+def _region_triples(spark, d):
+    return table(spark, d, "nation").select(F.concat(F.lit("http://r/"), "n_regionkey").alias("s"), F.lit("http://p/has").alias("p"), F.concat(F.lit("http://n/"), "n_nationkey").alias("o"), F.lit("uri").alias("o_kind"))
+
+
+_REGION_LINE = "'<http://r/' || n_regionkey || '> <http://p/has> <http://n/' || n_nationkey || '> .'"
+
+
+@query("k6b_k7_statements", f"""SELECT 'insert' AS kind, 'http://r/' || n_regionkey AS s, 'INSERT INTO GRAPH <http://g> {{ ' || string_agg({_REGION_LINE}, ' ' ORDER BY {_REGION_LINE}) || ' }}' AS value FROM nation GROUP BY n_regionkey
+    UNION ALL SELECT 'delete', 'http://r/' || n_regionkey, 'DELETE FROM GRAPH <http://g> {{ ' || {_REGION_LINE} || ' }}' FROM nation
+    UNION ALL SELECT 'filter', 'http://r/' || r_regionkey, 'DELETE FROM GRAPH <http://g> {{ <http://r/' || r_regionkey || '> ?p ?o }} FROM <http://g> WHERE {{ <http://r/' || r_regionkey || '> ?p ?o . FILTER (!(str(?p) LIKE ''http://k/%'')) }}' FROM region""")
+def k6b(spark, d):
+    """A statement a subject, one a triple, and deletes that keep what other extractors wrote."""
+    t = _region_triples(spark, d)
+    out = K.update_statements(t, "http://g").withColumn("kind", F.lit("insert"))
+    out = out.unionByName(K.update_statements(t, "http://g", False, True).withColumn("kind", F.lit("delete")))
+    regions = table(spark, d, "region").select(F.concat(F.lit("http://r/"), "r_regionkey").alias("s"))
+    return out.unionByName(K.delete_by_filter(regions, "http://g", [("p", "http://k/")]).withColumn("kind", F.lit("filter"))).select("kind", "s", "value")
+
+
+@query("e29_marked_pages", "SELECT p_partkey AS page_id, 'http://r/Part_' || p_partkey AS s, 'kind' AS p, 'compound' AS o FROM part WHERE p_size % 5 = 0")
+def e29(spark, d):
+    from factweave.operators import extractors as E
+
+    source = F.when(F.col("p_size") % 5 == 0, "text {{chembox header}} text").otherwise("text {{chembox}} text")
+    pages = table(spark, d, "part").select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("part "), "p_partkey").alias("title"), source.alias("source"))
+    return E.marked_pages(pages, "http://r/", "{{chembox header}}", "kind", "compound").select("page_id", "s", "p", "o")

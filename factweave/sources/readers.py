@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 DUMP_SCHEMA = (
@@ -146,6 +148,90 @@ def namespaces_of(siteinfo: DataFrame, column: str = "value") -> DataFrame:
     return each.select(F.regexp_extract("_n", r'key="(-?[0-9]+)"', 1).cast("int").alias("ns"), F.regexp_extract("_n", r">([^<]*)<", 1).alias("name"))
 
 
+def single_page(spark: SparkSession, title: str, source: str, page_id: int = 0, ns: int = 0) -> DataFrame:
+    """One page from memory, as all extractors take it."""
+    return spark.createDataFrame([(page_id, title, ns, source)], "page_id long, title string, ns int, source string")
+
+
+def oldest_record(spark: SparkSession, path: str) -> DataFrame:
+    """(name, value) of the record file that was changed first; of files of one time the first by name."""
+    files = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("name"), F.col("_metadata.file_modification_time").alias("_t"), "value")
+    return files.orderBy("_t", "name").limit(1).drop("_t")
+
+
+#: A string literal of an SQL dump: escapes by backslash, quotes also doubled.
+_QUOTED = r"'(?:[^'\\]++|\\.|'')*+'"
+#: Escapes in the literals of dumps but for the backslash itself (fixed values).
+_ESCAPED = [("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t"), ("\\Z", "\x1a"), ("\\'", "'"), ('\\"', '"'), ("''", "'")]
+
+
+def _literal(c: Column) -> Column:
+    """The text of a literal; null for NULL."""
+    inner = F.substring(c, 2, F.length(c) - 2)
+
+    def unescaped(x):
+        for escape, char in _ESCAPED:
+            x = F.replace(x, F.lit(escape), F.lit(char))
+        return x
+
+    text = F.array_join(F.transform(F.split(inner, r"\\\\", -1), unescaped), "\\")
+    return F.when(c.startswith("'"), text).when(F.upper(c) != "NULL", c)
+
+
+def inserted_rows(lines: DataFrame, table: str, names: list[str], column: str = "value") -> DataFrame:
+    """The rows that an SQL dump's INSERT statements, one a line, put into a table: texts under the names, null for NULL."""
+    head = rf"(?is)^\s*INSERT\s+INTO\s+`?{re.escape(table)}`?\s*(?:\([^)]*\)\s*)?VALUES\s*"
+    rows = F.regexp_extract_all(F.regexp_replace(column, head, ""), F.lit(rf"(?s)\((?:{_QUOTED}|[^'()]++)*+\)"), F.lit(0))
+    each = lines.where(F.col(column).rlike(head)).select(F.explode(rows).alias("_r"))
+    cells = each.select(F.regexp_extract_all("_r", F.lit(rf"(?s){_QUOTED}|[^'(),\s]++"), F.lit(0)).alias("_c"))
+    return cells.select(*(_literal(F.get("_c", F.lit(k))).alias(n) for k, n in enumerate(names)))
+
+
+def read_catalogue(spark: SparkSession, path: str, tag: str = "pgterms:etext") -> DataFrame:
+    """``value``: each element of a kind of an RDF/XML catalogue, as it stands."""
+    parts = spark.read.option("lineSep", f"</{tag}>").text(path).where(f"contains(value, '<{tag} ')")
+    return parts.select(F.concat(F.regexp_extract("value", rf"(?s)(<{tag} .*)\z", 1), F.lit(f"</{tag}>")).alias("value"))
+
+
+def without_prefixes(c: Column, prefixes: tuple[str, ...], entities: dict[str, str] | None = None) -> Column:
+    """XML whose element and attribute names have lost the stated prefixes; stated entities are written out, other unknown ones go."""
+    c = F.regexp_replace(c, rf"(</?|\s)(?:{'|'.join(prefixes)}):", "$1")
+    for name, text in (entities or {}).items():
+        c = F.replace(c, F.lit(f"&{name};"), F.lit(text))
+    return F.regexp_replace(c, r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z]+;", "")
+
+
+#: Prefixes of the book catalogue (fixed values).
+CATALOGUE_PREFIXES = ("rdf", "pgterms", "dcterms", "dc")
+
+
+def catalogue_tables(books: DataFrame, files: DataFrame, entities: dict[str, str] | None = None, column: str = "value") -> dict[str, DataFrame]:
+    """Tables of a book catalogue from its book and file elements: texts, creators, contributors, subjects, files.
+
+    Names stand alone or in a bag; a contributor's part stands in square brackets behind the name.
+    """
+    number = lambda c: F.regexp_extract(c, "([0-9]+)$", 1).try_cast("int").alias("text_id")
+    one = lambda x: F.nullif(F.trim(F.xpath_string("x", F.lit(x))), F.lit(""))
+    many = lambda df, x, name: df.select("text_id", F.explode(F.xpath("x", F.lit(x))).alias("_v")).select("text_id", F.trim(F.col("_v"), F.lit(" \t\r\n")).alias(name)).where(F.col(name) != "").distinct()
+    plain = lambda df: df.select(without_prefixes(F.col(column), CATALOGUE_PREFIXES, entities).alias("x"))
+    b = plain(books).select(number(F.xpath_string("x", F.lit("/etext/@ID"))), "x")
+    names = lambda kind: many(b, f"/etext/{kind}/text() | /etext/{kind}/Bag/li/text()", "name")
+    part = F.regexp_extract("name", r"\[([^\]]*)\]$", 1)
+    texts = b.select("text_id", *(one(f"/etext/{x}").alias(x) for x in ("publisher", "title", "friendlytitle", "language", "created", "rights", "description")))
+    f = plain(files)
+    formats = F.transform(F.xpath("x", F.lit("/file/format//text()")), lambda v: F.trim(v, F.lit(" \t\r\n")))
+    formats = F.filter(formats, lambda v: v != "")
+    stored = f.select(
+        number(F.xpath_string("x", F.lit("/file/isFormatOf/@resource"))), one("/file/@about").alias("url"), F.get(formats, F.lit(0)).alias("format1"), F.get(formats, F.lit(1)).alias("format2"),
+        one("/file/modified").try_cast("date").alias("modified"), one("/file/extent").try_cast("bigint").alias("extent"),
+    )
+    return {
+        "texts": texts.withColumn("created", F.col("created").try_cast("date")), "creators": names("creator"),
+        "contributors": names("contributor").select("text_id", F.trim(F.regexp_replace("name", r"\s*\[[^\]]*\]$", "")).alias("name"), F.nullif(part, F.lit("")).alias("type")),
+        "subjects": many(b, "/etext/subject//text()", "subject"), "files": stored,
+    }
+
+
 def write_ntriples(triples: DataFrame, path: str, by: str | None = None) -> None:
     """One line a triple, in folders by a dataset column if named."""
     from factweave.operators.triples import ntriple

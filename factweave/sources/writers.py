@@ -188,3 +188,31 @@ def record_files(records: DataFrame) -> DataFrame:
     meta = F.concat_ws("\n", F.concat(F.lit("identifier="), "identifier"), F.concat(F.lit("title="), "title"), F.concat(F.lit("ts="), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'")), F.concat(F.lit("op="), "op"))
     body = F.when(F.col("op") == "delete", "").otherwise(F.coalesce("source", F.lit("")))
     return records.select(F.concat("identifier", F.lit(".txt")).alias("name"), F.concat(meta, F.lit("\n**********\n"), body).alias("value"))
+
+
+def update_statements(triples: DataFrame, graph: str, insert: bool = True, one_by_one: bool = False) -> DataFrame:
+    """s, ``value``: statements that put the triples of a subject into a graph or take them out: one a subject, or one a triple."""
+    from factweave.operators.triples import ntriple
+
+    head = F.lit(f"INSERT INTO GRAPH <{graph}> {{ " if insert else f"DELETE FROM GRAPH <{graph}> {{ ")
+    rows = triples.select("s", ntriple(F.col("s"), F.col("p"), F.col("o"), F.col("o_kind")).alias("value"))
+    if not one_by_one:
+        rows = rows.groupBy("s").agg(F.array_join(F.array_sort(F.collect_set("value")), " ").alias("value"))
+    return rows.select("s", F.concat(head, "value", F.lit(" }")).alias("value"))
+
+
+def delete_by_filter(subjects: DataFrame, graph: str, kept: list[tuple[str, str]] = ()) -> DataFrame:
+    """s, ``value``: a statement that takes all of a subject's triples out of a graph, but for kept ones.
+
+    ``kept``: (``p`` or ``o``, the address that the predicate or object begins with).
+    """
+    quoted = lambda x: x.replace("\\", "\\\\").replace("'", "\\'")
+    rest = "".join(f" FILTER (!(str(?{v}) LIKE '{quoted(start)}%'))" for v, start in kept)
+    s = F.concat(F.lit("<"), "s", F.lit("> ?p ?o"))
+    return subjects.select("s", F.concat(F.lit(f"DELETE FROM GRAPH <{graph}> {{ "), s, F.lit(f" }} FROM <{graph}> WHERE {{ "), s, F.lit(f" .{rest} }}")).alias("value"))
+
+
+def write_by_subject(statements: DataFrame, paths: list[str], most: int = 200) -> None:
+    """The lines of each subject (s, value) in a folder of its own under each of the paths, named by the escaped address."""
+    named = statements.select(F.substring(F.url_encode("s"), 1, most).alias("subject"), "value")
+    tee(named.repartition("subject"), [lambda df, path=path: df.write.partitionBy("subject").text(path) for path in paths])

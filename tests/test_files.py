@@ -86,6 +86,40 @@ def test_record_files_as_a_stream_to_handlers(spark, tmp_path):
     assert seen == {"update": 1, "delete": 1, "rest": 1}
 
 
+def test_catalogues_and_dumps_on_files(spark, tmp_path):
+    book = '<pgterms:etext rdf:ID="etext7"><dc:title>A</dc:title></pgterms:etext>'
+    (tmp_path / "c.rdf").write_text(f"<rdf:RDF>\n{book}\n{book.replace('7', '8')}\n</rdf:RDF>")
+    books = S.read_catalogue(spark, str(tmp_path / "c.rdf"))
+    t = S.catalogue_tables(books, S.read_catalogue(spark, str(tmp_path / "c.rdf"), "pgterms:file"))
+    assert {(r["text_id"], r["title"], r["created"]) for r in t["texts"].collect()} == {(7, "A", None), (8, "A", None)} and t["files"].isEmpty() and t["creators"].isEmpty()
+    (tmp_path / "d.sql").write_text("-- INSERT INTO x\nINSERT INTO `x` VALUES ('a''b', 12, NULL, 'c,\\\\');\ninsert into x (p, q) values ('(',-1.5,'',''),('NULL',0,null,'z');\nINSERT INTO y VALUES (1);\n")
+    rows = S.inserted_rows(spark.read.text(str(tmp_path / "d.sql")), "x", ["p", "q", "r", "s"]).collect()
+    assert {tuple(r) for r in rows} == {("a'b", "12", None, "c,\\"), ("(", "-1.5", "", ""), ("NULL", "0", None, "z")}
+
+
+def test_oldest_record_and_single_page(spark, tmp_path):
+    for k, name in enumerate(("b", "a", "c")):
+        (tmp_path / name).write_text(name * 3)
+        os.utime(tmp_path / name, (1000 + k, 1000 + k))
+    assert tuple(S.oldest_record(spark, str(tmp_path)).first()) == ("b", "bbb")
+    assert tuple(S.single_page(spark, "T", "{{x}}").first()) == (0, "T", 0, "{{x}}")
+
+
+def test_statements_by_subject_in_several_folders(spark, tmp_path):
+    rows = spark.createDataFrame([("http://x/a", "one"), ("http://x/a", "two"), ("http://x/b/c", "three")], "s string, value string")
+    paths = [str(tmp_path / "1"), str(tmp_path / "2")]
+    K.write_by_subject(rows, paths)
+    for p in paths:
+        got = spark.read.option("recursiveFileLookup", True).text(p).select("value", "_metadata.file_path").collect()
+        assert len(got) == 3 and len({r["file_path"] for r in got}) == 2
+
+
+def test_breadth_first_ends_where_nothing_new_is_reached(spark):
+    e = spark.createDataFrame([("a", "b"), ("b", "a"), ("b", "c"), ("x", "y"), ("c", None)], "a string, b string")
+    got = {tuple(r) for r in G.breadth_first(e.where("b is not null"), spark.createDataFrame([("a",)], "node string"), 9).collect()}
+    assert got == {("a", 0), ("b", 1), ("c", 2)}
+
+
 def test_chained_sources(spark):
     a = spark.range(2).toDF("x")
     assert R.chained(a, a).count() == 4
