@@ -213,6 +213,9 @@ def delete_by_filter(subjects: DataFrame, graph: str, kept: list[tuple[str, str]
 
 
 def write_by_subject(statements: DataFrame, paths: list[str], most: int = 200) -> None:
-    """The lines of each subject (s, value) in a folder of its own under each of the paths, named by the escaped address."""
+    """The lines of each subject (s, value) in a folder of its own under each of the paths, named by the escaped address.
+
+    Addresses that agree in their first ``most`` escaped signs share a folder; no line is lost.
+    """
     named = statements.select(F.substring(F.url_encode("s"), 1, most).alias("subject"), "value")
     tee(named.repartition("subject"), [lambda df, path=path: df.write.partitionBy("subject").text(path) for path in paths])
