@@ -19,7 +19,11 @@ PICTURES = "jpe?g|png|gif|svg"
 
 
 def _alternation(names) -> str:
-    return "|".join(re.escape(n) for n in sorted(names, key=lambda n: (-len(n), n)))
+    """One of the names, the longest that fits first; sorted into branches by first character, and none is tried where no name begins."""
+    branches: dict[str, list[str]] = {}
+    for n in sorted(names, key=lambda n: (-len(n), n)):
+        branches.setdefault(n[0], []).append(re.escape(n[1:]))
+    return f"(?=[{''.join(map(re.escape, branches))}])(?:" + "|".join(f"{re.escape(c)}(?:{'|'.join(tails)})" for c, tails in branches.items()) + ")"
 
 
 def quantity(c: Column, lang: Column, dimension: str | None = None) -> Column:
@@ -107,14 +111,16 @@ def _cascade(t: Column, lang: Column, base: str) -> Column:
         .when(t.rlike(rf"(?i)^[^\[\]{{}}|<>\n]+\.(?:{PICTURES})$") & ~t.contains("://"), one(uri(F.concat(F.lit("File:"), t)), "uri"))
         .when(t.rlike(month_year), one(F.concat_ws("-", F.regexp_extract(t, month_year, 2), month), datatype=XSD + "gYearMonth"))
     )
-    dates = U.let(V.parse_date(F.regexp_replace(t, r"\[\[|\]\]", "")), lambda d: F.when(d.isNotNull(), one(d, datatype=XSD + "date")))
+    # cheap tests of what a reading needs come first: most values fail them, and a cast of no digits is an exception caught in Spark
+    year = t.rlike(r"[0-9]{4}|[0-9](?:\[\[|\]\])+[0-9]")
+    dates = F.when(year, U.let(V.parse_date(F.regexp_replace(t, r"\[\[|\]\]", "")), lambda d: F.when(d.isNotNull(), one(d, datatype=XSD + "date"))))
     ranks = (
         F.when(t.rlike(r"^\[\[[0-9]{4}\]\]$"), one(F.regexp_extract(t, "([0-9]{4})", 1), datatype=XSD + "gYear"))
         .when(t.rlike(r"^[0-9]+(?:<sup>)?(?:st|nd|rd|th)(?:</sup>)?$"), one(F.regexp_extract(t, "^([0-9]+)", 1), datatype="rank"))
         .when(t.rlike(scaled), U.let(V.parse_scaled(t, lang), lambda v: one(number(v), datatype=XSD + "integer")))
     )
     coins = U.let(money(t, lang), lambda m: F.when(m.isNotNull(), one(number(m["value"]), datatype=m["unit"])))
-    percents = U.let(V.parse_percent(t), lambda v: F.when(v.isNotNull(), one(number(v), datatype="percent")))
+    percents = F.when(t.rlike("[0-9] ?%"), U.let(V.parse_percent(t), lambda v: F.when(v.isNotNull(), one(number(v), datatype="percent"))))
     sizes = F.when(t.rlike(r"^-?[0-9]"), U.let(quantity(t, lang), lambda q: F.when(q.isNotNull(), one(number(q["value"]), datatype=q["unit"]))))
     links = (
         F.when(t.rlike(rf"^{link}$"), one(uri(F.regexp_extract(t, link, 1)), "uri"))
@@ -123,4 +129,5 @@ def _cascade(t: Column, lang: Column, base: str) -> Column:
         .when(t.rlike(referenced), U.let(F.replace(F.regexp_extract(t, referenced, 1), F.lit(","), F.lit("")), lambda n: one(n, datatype=F.when(n.contains("."), XSD + "decimal").otherwise(XSD + "integer"))))
     )
     texts = U.let(plain_text(t), lambda x: F.when(x != "", one(x)).otherwise(none))
-    return F.coalesce(shapes, dates, ranks, coins, percents, sizes, links, texts)
+    numbers = F.when(t.rlike("[0-9]"), F.coalesce(dates, ranks, coins, percents, sizes))  # none of these reads a text without digits
+    return F.coalesce(shapes, numbers, links, texts)

@@ -15,8 +15,11 @@ _X = C.XSD
 
 
 def customer_pages(spark, d):
-    """One page a customer: an infobox, and a second template with an address."""
-    c = table(spark, d, "customer")
+    """One page a customer: an infobox, and a second template with an address.
+
+    A row of some bytes becomes a page, so a file that Spark reads in one task holds pages for many: rows are dealt before.
+    """
+    c = table(spark, d, "customer").repartition(4 * spark.sparkContext.defaultParallelism, "c_custkey")
     source = F.format_string(
         "Intro text.\n{{Infobox customer\n| customer_name = '''%s'''\n| nation = [[Nation %d|home]]\n| balance = %s\n| segments = %s<br />OTHER\n| height = %d cm\n| active1 = 1990 – 1999\n| where = {{coord|%d|30|0|N|8|15|E}}\n}}\nMore. {{Address | street name = Street %d | city = [[City]]}}",
         "c_name", "c_nationkey", F.format_string("%.2f", "c_acctbal"), "c_mktsegment", "c_custkey", F.pmod("c_custkey", F.lit(80)), F.pmod("c_custkey", F.lit(7)),

@@ -96,3 +96,13 @@ def test_german_persondata(spark):
     got = {r["p"]: r["o"] for r in E.persondata(pages, "http://x/", "de").collect()}
     assert got["birth"] == "1950-03-12" and got["death"] == "2001-01-01"
     assert (got["givenName"], got["surname"], got["description"]) == ("Jörg", "Müller", "Maler")
+
+
+def test_pages_of_a_small_file_come_to_many_tasks(spark, small):
+    """A file of some bytes a row is read in one task; the pages written from it are parsed in as many as there are cores."""
+    from factweave.plans.mapping_queries import customer_pages
+
+    pages = customer_pages(spark, small)
+    assert pages.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    filled = I.template_properties(pages).select(F.spark_partition_id().alias("k")).distinct().count()
+    assert filled >= spark.sparkContext.defaultParallelism
