@@ -228,6 +228,26 @@ def test_lists_are_read_until_no_outsider_can_qualify():
     assert same[3].tolist() == [topk.ROUNDS] and same[1].tolist() == [0, 1, 2] and same[2].tolist() == [9, 9, 9]
 
 
+def test_shards_before_set_the_bar():
+    """The k-th best score of other shards ends reading early; a lane of shards gives what all pairs give, over all integer types."""
+    rng = np.random.default_rng(5)
+    x = np.floor(8 * rng.normal(0, 1, (3000, 32))).astype(np.int64)
+    ids, k = np.arange(3000) * 3, 5
+    s = x[:300] @ x.T
+    s[np.arange(300), np.arange(300)] = -(10**9)
+    bar = np.sort(s[:, :2000], axis=1)[:, -k]
+    held = topk.Shard(ids[2000:], x[2000:])
+    assert len(held.left(ids[:300], x[:300], k)[0]) >= 300 * k and held.compared >= topk.ROUNDS - 2
+    free, held.compared = held.compared, None
+    r, v, score, _ = held.left(ids[:300], x[:300], k, bar)
+    assert held.compared < free and {(a, b) for a, b in zip(r, v)} >= {(a, 3 * b) for a, b in zip(*np.nonzero(s >= bar[:, None])) if b >= 2000}
+    for scale in (1, 1000, 10**7):
+        got = topk._lane([(ids[i : i + 700], scale * x[i : i + 700]) for i in range(0, 3000, 700)], ids[:300], scale * x[:300], k)
+        order = np.lexsort((got[1], -got[2], got[0]))
+        want = [(3 * a, 3 * b, int(scale * scale * s[a, b])) for a in range(300) for b in np.lexsort((ids, -s[a]))[:k]]
+        assert list(zip(*(g[order].tolist() for g in got))) == want
+
+
 def test_url_filter(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://WWW.Cheap-Pills.example.com/en/1"), (4, "https://a.example.org/es/1"), (5, "https://a.example.org/en/12"), (6, "https://b.org"), (7, "http://x.com/fr/1"), (8, "http://x.com/de/?q"), (9, "http://notexample.org/es/"), (10, "http://y.net/page.html#x"), (11, "http://y.net/other"), (11, "http://y.net/other"), (12, "")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("key", F.lit("k")).withColumn("rule", F.lit("r"))
