@@ -170,6 +170,19 @@ def test_suffix_dedup(spark, odd, wide, monkeypatch):
     assert clean.count() == len(rows) and clean.columns == frame(spark, rows).columns
 
 
+def test_passages_go_from_the_length_on(spark):
+    """A shared passage of over 50 words that is shorter than 400 bytes: op6's length leaves it, a shorter length removes it."""
+    rng = random.Random(12)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    passage = prose(55)
+    assert 200 <= len(passage) < 390
+    rows = [(k, prose(60) + " " + passage + " " + prose(60)) for k in range(3)]
+    at = {n: suffix_dedup.suffix_dedup(frame(spark, rows), n, s).collect() for n, s in ((400, 100), (200, 50))}
+    assert [sorted((str(r[0]), r[1], r[2], r[3], r[4]) for r in at[n]) for n in at] == [brute_removed(rows, n) for n in at]
+    assert all(r["n_removed"] == 0 and passage in r["text"] for r in at[400])
+    assert all(r["n_removed"] >= len(passage) and passage not in r["text"] for r in at[200])
+
+
 @pytest.mark.parametrize("shard", [300, 1000, 1 << 18])
 def test_merged_transforms_find_all_repeats(shard):
     rng = random.Random(8)
